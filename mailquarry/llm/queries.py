@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailquarry.llm import binary, packing
+from mailquarry.llm import binary, mixing, packing, quality
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -27,10 +27,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(mixing.mix(documents(spark, sf_dir))).drop("row_id")
+
+
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "token_ids")
     binary.write_ids(documents(spark, sf_dir), path, tokenizer("byte_bpe_50k.json"))
@@ -38,8 +46,12 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
+    "op4_quality": op4_quality,
     "op6_token_binary": op6_token_binary,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mix_sources": mixing.SQL,
+}
