@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailquarry.llm import binary, mixing, packing, quality
+from mailquarry.llm import binary, embeddings, mixing, packing, quality
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -39,6 +39,18 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(vectors(spark, sf_dir))
+
+
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.top_products(vectors(spark, sf_dir))
+
+
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "token_ids")
     binary.write_ids(documents(spark, sf_dir), path, tokenizer("byte_bpe_50k.json"))
@@ -49,9 +61,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
     "op4_quality": op4_quality,
+    "op5_embedding_duplicates": op5_embedding_duplicates,
+    "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
+    "op9_top_products": embeddings.TOP_SQL,
 }
