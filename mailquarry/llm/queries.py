@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailquarry.llm import binary, embeddings, mixing, packing, quality
+from mailquarry.llm import binary, embeddings, jaccard, mixing, packing, quality
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -47,6 +47,10 @@ def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(vectors(spark, sf_dir))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.top_products(vectors(spark, sf_dir))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
     "op4_quality": op4_quality,
     "op5_embedding_duplicates": op5_embedding_duplicates,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
 }
