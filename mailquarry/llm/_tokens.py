@@ -9,7 +9,9 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 #: White space to one of Python's and the tokenizers' regex engines but not the other: such texts go whole to the library.
-_ODD = re.compile("[\x1c-\x1f\x85᠎​﻿]")
+_ODD = re.compile("[\x01\x1c-\x1f\x85᠎​﻿]")
+#: White space that is not a single space or line break between words.
+_UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 _CACHE_PIECES = 1_000_000
 _AT_ONCE = 2_000
@@ -19,6 +21,17 @@ _BYTE_CHARS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
+def _spaced(text: str) -> list[str]:
+    """The pieces of a text, each with the white space before it, as keys: a word stands for the word after a
+    space, a line break and a word for themselves, and any other piece for what follows its \\x01."""
+    if not _UNEVEN.search(text):
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = "\x01" + keys[0]
+        return keys
+    pieces = _CHUNK.findall(text)
+    return [p[1:] if p[0] == " " and not p[1:2].isspace() and len(p) > 1 else p if p[0] == "\n" and not p[1:2].isspace() and len(p) > 1 else "\x01" + p for p in pieces]
+
+
 class Encoder:
     """Ids of texts, equal to the library's ``encode(text, add_special_tokens=False)``.
 
@@ -34,9 +47,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split: Callable[[str], list[str]] = _CHUNK.findall if keep_space else str.split
+        self.split: Callable[[str], list[str]] = _spaced if keep_space else str.split
         # New pieces are encoded many at once, parted by a mark that is one token and part of none of them.
-        self.mark, self.plain = ("\n", re.compile(r" ?\S+")) if keep_space else (" \x01 ", re.compile("[^\x01]+"))
+        self.mark = "\n" if keep_space else " \x01 "
         self.mark_ids = self._encode(self.mark)
         self.keep_space, self.model, self.short = keep_space, self.tokenizer.model, {}
         for x in ".,\n":
@@ -65,35 +78,37 @@ class Encoder:
         self.used += len(ids)
         self.known.update(zip(pieces, range(n, m), strict=True))
 
-    def _letters(self, piece: str) -> list[int] | None:
+    def _letters(self, key: str) -> list[int] | None:
         """The ids of a word of Latin-1 letters, maybe after a line break or with a comma or full stop: the library's model alone, as the steps before it leave such a word whole."""
-        word, tail = (piece[:-1], self.short[piece[-1]]) if piece[-1] in self.short else (piece, [])
-        head = self.short["\n"] if self.keep_space and word[:1] == "\n" else []
-        word = word[1:] if head else word
-        letters = word.removeprefix(" ") if self.keep_space and not head else word if self.keep_space else word.lower()
-        if not letters.isalpha() or not (word.isascii() or max(word) < "\u0100"):
+        head = self.short["\n"] if key[0] == "\n" else []
+        word = key[1:] if head else key
+        word, tail = (word[:-1], self.short[word[-1]]) if word[-1:] in self.short else (word, [])
+        if not word.isalpha() or not (word.isascii() or max(word) < "\u0100"):
             return None
-        if word != letters or not word.isascii():
-            word = (word if self.keep_space else letters).encode().decode("latin-1").translate(_BYTE_CHARS)
-        return head + [t.id for t in self.model.tokenize(word)] + tail
+        word = word if self.keep_space else word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        space = _BYTE_CHARS[32] if self.keep_space and not head else ""
+        return head + [t.id for t in self.model.tokenize(space + word)] + tail
 
     def _learn(self, new: set[str]) -> None:
         found = {x: ids for x in new if (ids := self._letters(x)) is not None}
         if found:
             self._add(list(found), np.fromiter(itertools.chain.from_iterable(found.values()), np.uint32), np.fromiter(map(len, found.values()), np.int64, len(found)))
             new = new.difference(found)
-        plain = [x for x in new if self.plain.fullmatch(x)]
-        alone = list(new.difference(plain)) if len(plain) < len(new) else []
+        plain = [x for x in new if x[0] not in "\x01\n"]
+        alone = list(new.difference(plain))
         for at in range(0, len(plain), _AT_ONCE):
             part = plain[at : at + _AT_ONCE]
-            ids = self._encode(self.mark.join(part))
+            ids = self._encode(self.mark.join([" " + x for x in part] if self.keep_space else part))
             marks = np.flatnonzero(ids == self.mark_ids[0])
             if len(self.mark_ids) == 1 and len(marks) == len(part) - 1:
                 self._add(part, np.delete(ids, marks), np.diff(marks, prepend=-1, append=len(ids)) - 1)
             else:
                 alone += part
         for x in alone:
-            self._add([x], ids := self._encode(x), np.array([len(ids)]))
+            text = x.removeprefix("\x01") if x[0] in "\x01\n" or not self.keep_space else " " + x
+            self._add([x], ids := self._encode(text), np.array([len(ids)]))
 
     def __call__(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """The ids of each text (null: none) as uint32."""

@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, jaccard, mixing, packing, quality
+from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, quality
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -35,6 +36,11 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = lines.dedup(documents(spark, sf_dir))
+    return left.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -64,6 +70,7 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
+    "op3_line_templates": op3_line_templates,
     "op4_quality": op4_quality,
     "op5_embedding_duplicates": op5_embedding_duplicates,
     "op8_jaccard_join": op8_jaccard_join,
@@ -73,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
+    "op3_line_templates": lines.SQL,
     "op9_top_products": embeddings.TOP_SQL,
 }
