@@ -1,0 +1,356 @@
+"""Personal data: fixed patterns, and further spans by a linear-chain conditional random field over word shapes."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+Span = tuple[str, int, int]
+
+BASE_KINDS = ("email", "ip", "card", "phone")
+#: What the random field adds: numbers of accounts and cards whatever their check digit, secret keys, phone numbers without a plus sign.
+ADDED_KINDS = ("account", "secret", "contact")
+KINDS = (*BASE_KINDS, *ADDED_KINDS)
+
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DIGIT = re.compile("[0-9]")
+# A run of digits that fails from its start fails from everywhere inside, so only starts of runs are tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+_PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits: str) -> bool:
+    """Whether the last digit is the check digit of the others."""
+    total = 0
+    for k, d in enumerate(map(int, reversed(digits))):
+        total += d if k % 2 == 0 else sum(divmod(2 * d, 10))
+    return total % 10 == 0
+
+
+def _digits(text: str) -> str:
+    return "".join(c for c in text if "0" <= c <= "9")
+
+
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping addresses; each has one @, so these are looked up."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        host = _DOMAIN.match(text, at + 1) if start < at else None
+        if host:
+            done = host.end()
+            yield start, done
+        at = text.find("@", max(at + 1, done))
+
+
+def base_spans(text: str) -> list[Span]:
+    """Spans of the fixed patterns, by kind as listed, then start. A match that fails its test is dropped, not retried."""
+    found: list[Span] = [("email", a, b) for a, b in emails(text)]
+    if _DIGIT.search(text):
+        found += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+        found += [("card", m.start(), m.end()) for m in _CARD.finditer(text) if 13 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
+        if "+" in text:
+            found += [("phone", m.start(), m.end()) for m in _PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
+    return found
+
+
+# --- the random field -------------------------------------------------------
+
+LABELS = ("O", *(f"{x}-{k}" for k in ADDED_KINDS for x in "BI"))
+_WORD = re.compile(r"\w+|[^\w\s]")
+_REACH = 2
+_NEVER = -1e4
+#: Lines decoded together, and label cells of such a batch at most.
+BATCH_LINES = 64
+BATCH_CELLS = 2_000_000
+
+
+def shape(word: str) -> str:
+    """A word's shape: its kinds of characters in order, runs of digits with their length, long mixes of hex digits as such."""
+    if word.isdigit():
+        return f"d{len(word)}"
+    if len(word) >= 16 and any(map(str.isdigit, word)) and word.isalnum() and word.isascii():
+        hexed = not set(word.lower()) - set("0123456789abcdef")
+        return ("hex" if hexed else "mix") + str(min(len(word) // 8, 5))
+    if word.isalpha():
+        return "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
+    return word if len(word) == 1 else "a0"
+
+
+def _features(word: str) -> tuple[str, ...]:
+    form = shape(word)
+    size = "digits" + str(min(len(word), 20) // 4) if form[0] == "d" and form != "d" else "none"
+    return "s " + form, "n " + size, "w " + (word.lower() if word.isalpha() and len(word) < 16 else "")
+
+
+def training_table(seed: int = 7, rows: int = 240) -> list[tuple[list[str], list[str]]]:
+    """The small labelled table: sentences of words with their labels, filled from a few patterns with invented values."""
+    rng = np.random.default_rng(seed)
+    plain = "the of and in to is that was for by with from this be la de und der que en les".split()
+    number = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    letters = lambda n, of: "".join(rng.choice(list(of), n))
+
+    def words(n: int) -> list[tuple[str, str]]:
+        return [(str(rng.choice(plain)) if rng.random() < 0.5 else letters(int(rng.integers(2, 10)), "aeinorstéü"), "O") for _ in range(n)]
+
+    def entity(kind: str, parts: list[str]) -> list[tuple[str, str]]:
+        return [(p, ("I-" if i else "B-") + kind) for i, p in enumerate(parts)]
+
+    def value(pick: int) -> list[tuple[str, str]]:
+        outside = lambda *x: [(w, "O") for w in x]
+        if pick == 0:
+            return entity("account", [number(int(rng.integers(12, 20)))])
+        if pick == 1:
+            return outside(str(rng.choice(["token", "key", "secret", "password"])), "=", '"') + entity("secret", [letters(int(rng.choice([32, 40, 64])), "0123456789abcdef")]) + outside('"')
+        if pick == 2:
+            return entity("contact", ["(", number(3), ")", number(3), "-", number(4)])
+        if pick == 3:
+            return entity("contact", [number(3), str(rng.choice(["-", "."])), number(3), str(rng.choice(["-", "."])), number(4)])
+        if pick == 4:
+            return outside(number(int(rng.integers(1, 7))))
+        if pick == 5:
+            return outside(number(4), "-", number(2), "-", number(2))
+        if pick == 6:
+            return outside("version", number(1), ".", number(1))
+        if pick == 7:
+            return outside(number(int(rng.integers(1, 4))), ".", number(int(rng.integers(1, 4))), ".", number(int(rng.integers(1, 4))), ".", number(int(rng.integers(1, 4))))
+        if pick == 8:
+            return outside(letters(6, "aeinorst") + number(2), "@", "mail" + number(1), ".", "example", ".", "com")
+        if pick == 9:
+            return outside("+", number(1), "(", number(3), ")", number(3), "-", number(4))
+        return outside(number(4), "-", number(4), "|", number(5), "$", number(3), ",", number(3))
+
+    table = []
+    for i in range(rows):
+        line = words(int(rng.integers(0, 6))) + value(i % 11) + [(str(rng.choice([".", ",", "#", "%", "&", "|"])), "O")] * int(rng.integers(0, 3)) + words(int(rng.integers(0, 6)))
+        if rng.random() < 0.4:
+            line += value(int(rng.integers(0, 11))) + words(int(rng.integers(0, 3)))
+        table.append(([w for w, _ in line], [k for _, k in line]))
+    return table
+
+
+class Field:
+    """A trained field: weights by feature, offset and label, and by pair of labels."""
+
+    def __init__(self, features: dict[str, int], emit: np.ndarray, move: np.ndarray, start: np.ndarray) -> None:
+        self.features, self.emit, self.move, self.start = features, emit, move, start
+        self.cache: dict[str, np.ndarray] = {}
+
+    def numbers(self, word: str) -> np.ndarray:
+        if word not in self.cache:
+            if len(self.cache) > 200_000:
+                self.cache.clear()
+            none = len(self.features)
+            self.cache[word] = np.array([self.features.get(f, none) for f in _features(word)])
+        return self.cache[word]
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Label scores of each word from its own and its neighbours' features."""
+        at = np.stack([self.numbers(w) for w in words])
+        out = np.zeros((len(words), len(LABELS)))
+        for o in range(-_REACH, _REACH + 1):
+            part = self.emit[o + _REACH][at].sum(axis=1)
+            if o <= 0:
+                out[-o if o else 0 :] += part[: len(words) + o]
+            else:
+                out[:-o] += part[o:]
+        return out
+
+    def decode(self, lines: list[list[str]]) -> list[np.ndarray]:
+        """The best labels of each line (Viterbi, all lines of a batch at once)."""
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(lines)
+        order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+        while order:
+            most = max(1, min(BATCH_LINES, BATCH_CELLS // max(1, len(lines[order[min(BATCH_LINES, len(order)) - 1]]) * len(LABELS))))
+            batch, order = order[:most], order[most:]
+            longest, n = len(lines[batch[-1]]), len(batch)
+            scores = np.zeros((n, longest, len(LABELS)))
+            for r, i in enumerate(batch):
+                if lines[i]:
+                    scores[r, : len(lines[i])] = self.scores(lines[i])
+            lengths = np.array([len(lines[i]) for i in batch])
+            best = self.start + scores[:, 0] if longest else np.zeros((n, len(LABELS)))
+            back = np.zeros((longest, n, len(LABELS)), np.int8)
+            for t in range(1, longest):
+                paths = best[:, :, None] + self.move
+                back[t] = paths.argmax(axis=1)
+                fresh = paths.max(axis=1) + scores[:, t]
+                best = np.where((t < lengths)[:, None], fresh, best)
+            label = best.argmax(axis=1)
+            labels = np.zeros((n, longest), np.int64)
+            for t in range(longest - 1, -1, -1):
+                inside = t < lengths
+                labels[inside, t] = label[inside]
+                label = np.where(inside & (t > 0), back[t, np.arange(n), label], label)
+            for r, i in enumerate(batch):
+                out[i] = labels[r, : len(lines[i])]
+        return out
+
+
+def _allowed() -> tuple[np.ndarray, np.ndarray]:
+    """Which label may follow which, and begin: I follows B or I of its kind."""
+    move, start = np.zeros((len(LABELS), len(LABELS))), np.zeros(len(LABELS))
+    for j, to in enumerate(LABELS):
+        if to[0] == "I":
+            start[j] = _NEVER
+            for i, of in enumerate(LABELS):
+                if of[2:] != to[2:] or of == "O":
+                    move[i, j] = _NEVER
+    return move, start
+
+
+def train(table: list[tuple[list[str], list[str]]], rounds: int = 150, rate: float = 0.5, l2: float = 1e-3) -> Field:
+    """Maximum likelihood by adaptive gradient steps over the whole table; forward-backward runs over all lines at once."""
+    names = sorted({f for words, _ in table for w in words for f in _features(w)})
+    index = {f: i for i, f in enumerate(names)}
+    n, longest, size = len(table), max(len(w) for w, _ in table), len(LABELS)
+    hold = np.full((2 * _REACH + 1, n, longest, 3), len(names))
+    gold, lengths = np.zeros((n, longest), int), np.array([len(w) for w, _ in table])
+    for r, (words, labels) in enumerate(table):
+        at = np.array([[index[f] for f in _features(w)] for w in words])
+        gold[r, : len(words)] = [LABELS.index(k) for k in labels]
+        for o in range(-_REACH, _REACH + 1):
+            for t in range(len(words)):
+                if 0 <= t + o < len(words):
+                    hold[o + _REACH, r, t] = at[t + o]
+    real = np.arange(longest) < lengths[:, None]
+    allowed, begin = _allowed()
+    emit, move = np.zeros((2 * _REACH + 1, len(names) + 1, size)), np.zeros((size, size))
+    seen_emit, seen_move = np.full_like(emit, 1e-6), np.full_like(move, 1e-6)
+    rows = np.arange(n)
+
+    def total(x: np.ndarray, axis: int) -> np.ndarray:
+        top = x.max(axis=axis, keepdims=True)
+        return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
+
+    for _ in range(rounds):
+        scores = sum(emit[o][hold[o]].sum(axis=2) for o in range(2 * _REACH + 1))
+        step = move + allowed
+        ahead, behind = np.zeros((longest, n, size)), np.zeros((longest, n, size))
+        ahead[0] = begin + scores[:, 0]
+        for t in range(1, longest):
+            ahead[t] = np.where(real[:, t, None], total(ahead[t - 1][:, :, None] + step, 1) + scores[:, t], ahead[t - 1])
+        for t in range(longest - 2, -1, -1):
+            further = total(step[None] + (scores[:, t + 1] + behind[t + 1])[:, None, :], 2)
+            behind[t] = np.where(real[:, t + 1, None], further, behind[t + 1])
+        norm = total(ahead[-1], 1)
+        chance = np.exp(np.minimum(0, ahead + behind - norm[None, :, None])).transpose(1, 0, 2) * real[:, :, None]
+        wrong = -chance
+        wrong[rows[:, None], np.arange(longest)[None], gold] += real
+        grad_move = np.zeros((size, size))
+        for t in range(1, longest):
+            pair = np.exp(np.minimum(0, ahead[t - 1][:, :, None] + step + (scores[:, t] + behind[t])[:, None, :] - norm[:, None, None])) * real[:, t, None, None]
+            grad_move -= pair.sum(axis=0)
+            np.add.at(grad_move, (gold[real[:, t], t - 1], gold[real[:, t], t]), 1)
+        grad_emit = np.zeros_like(emit)
+        for o in range(2 * _REACH + 1):
+            for f in range(3):
+                np.add.at(grad_emit[o], hold[o, :, :, f][real], wrong[real])
+        grad_emit[:, -1] = 0
+        for weights, grad, seen in ((emit, grad_emit, seen_emit), (move, grad_move, seen_move)):
+            grad = grad / n - l2 * weights
+            seen += grad * grad
+            weights += rate * grad / np.sqrt(seen)
+    return Field(index, emit, move + allowed, begin)
+
+
+def _lines(text: str) -> Iterator[tuple[int, str]]:
+    """Lines that hold a digit, with their starts; spans of the field's kinds begin in no other."""
+    hit = _DIGIT.search(text)
+    while hit:
+        start = text.rfind("\n", 0, hit.start()) + 1
+        end = text.find("\n", hit.end())
+        end = len(text) if end < 0 else end
+        yield start, text[start:end]
+        hit = _DIGIT.search(text, end)
+
+
+def added_spans(field: Field, texts: list[str], bases: list[list[Span]]) -> list[list[Span]]:
+    """Spans that the field finds in each text beside its base spans, none of which they touch."""
+    place: list[tuple[int, int, list[re.Match]]] = []
+    for k, text in enumerate(texts):
+        place += [(k, start, list(_WORD.finditer(line))) for start, line in _lines(text)]
+    found: list[list[Span]] = [[] for _ in texts]
+    for (k, start, words), labels in zip(place, field.decode([[w[0] for w in ws] for _, _, ws in place]), strict=True):
+        at = 0
+        while at < len(words):
+            if not labels[at]:
+                at += 1
+                continue
+            last = at
+            while last + 1 < len(words) and LABELS[labels[last + 1]][0] == "I":
+                last += 1
+            a, b = start + words[at].start(), start + words[last].end()
+            if _DIGIT.search(texts[k], a, b) and all(b <= x or y <= a for _, x, y in bases[k]):
+                found[k].append((LABELS[labels[at]][2:], a, b))
+            at = last + 1
+    return found
+
+
+def written(spans: list[Span]) -> str:
+    """kind:start:end, by kind as listed, then start, joined by commas."""
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
+    """Personal data in whole texts: a row per document with counts and spans.
+
+    doc_id; n_email, n_ip, n_card, n_phone, the counts of the fixed patterns; base_sha256 of these spans as written by
+    ``written``; spans, all of them, those of the random field added. The field's kinds are account, secret and contact, so the counts
+    of the fixed kinds are the same with and without it, and base spans always stay. Positions are code points, ends exclusive.
+
+    Scale: no shuffle; each task scans its texts once. The field is trained on a small table in seconds and goes with the tasks; only lines with digits are decoded, in batches.
+    Null texts count as empty. Repeated rows and null ids are kept as they are; an empty table gives no rows.
+    """
+    model = field or train(training_table())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for at in range(0, batch.num_rows, 256):
+                texts = [t or "" for t in batch.column(1).slice(at, 256).to_pylist()]
+                bases = [base_spans(t) for t in texts]
+                for base, more in zip(bases, added_spans(model, texts, bases), strict=True):
+                    counts = [sum(s[0] == k for s in base) for k in BASE_KINDS]
+                    out.append((*counts, hashlib.sha256(written(base).encode()).hexdigest(), written(base + more)))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            types = [pa.int64()] * 4 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+
+
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
+    """``docs`` with every span of ``text_col`` replaced by its kind in angle brackets; overlapping ones as one, by the first kind."""
+    model = field or train(training_table())
+
+    @F.pandas_udf("string")
+    def masked(texts):
+        import pandas as pd
+
+        whole = [t or "" for t in texts]
+        bases = [base_spans(t) for t in whole]
+        out = []
+        for raw, text, base, more in zip(texts, whole, bases, added_spans(model, whole, bases), strict=True):
+            parts, done = [], 0
+            for kind, a, b in sorted(base + more, key=lambda s: (s[1], -s[2])):
+                if a >= done:
+                    parts += [text[done:a], f"<{kind}>"]
+                done = max(done, b)
+            out.append(None if raw is None else "".join(parts) + text[done:])
+        return pd.Series(out)
+
+    return docs.withColumn(text_col, masked(F.col(text_col)))

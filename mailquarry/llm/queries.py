@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, quality
+from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, pii, quality
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -67,6 +67,10 @@ def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.index(spark, path)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {
