@@ -19,7 +19,6 @@ PERCENT = 80
 #: a set's shingles are tried; any order gives the same links.
 ORDER_SAMPLE = 4000
 ORDER_SHINGLES = 50_000
-SIGNATURE_BITS = 1024
 TILE_ROWS = 4096
 _AT_ONCE = 256
 
@@ -46,15 +45,57 @@ def _sampled(words: int):
     return run
 
 
+def width(n: int | np.ndarray) -> int | np.ndarray:
+    """Bits of the signature of a set of n: a power of two, twice n at least, 512 at least."""
+    return 1 << np.maximum(9, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) + 1)
+
+
+def signature(shingles: np.ndarray) -> bytes:
+    """A set's bitmap: the bits that its shingles hash to."""
+    bits = int(width(len(shingles)))
+    flat = np.zeros(bits, np.uint8)
+    flat[(shingles >> np.uint64(32)) & np.uint64(bits - 1)] = 1
+    return np.packbits(flat, bitorder="little").tobytes()
+
+
+class Signatures:
+    """Signatures of many sets, each also folded to half its width, to be compared with one of that width."""
+
+    def __init__(self, n: np.ndarray, signs: list[bytes]) -> None:
+        self.n, self.width = n, width(n)
+        self.at = np.zeros(len(n), np.int64)
+        self.full: dict[int, np.ndarray] = {}
+        self.half: dict[int, np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.at[rows] = np.arange(len(rows))
+            flat = np.frombuffer(b"".join([signs[r] for r in rows]), np.uint64).reshape(len(rows), -1)
+            self.full[w] = flat
+            self.half[w] = flat[:, : flat.shape[1] // 2] | flat[:, flat.shape[1] // 2 :]
+
+    def most(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Upper bounds of the intersections of the sets x[i] and y[i], y[i] the larger and at most one width up."""
+        out = np.zeros(len(x), np.int64)
+        for w in np.unique(self.width[x]).tolist():
+            for up, source in ((w, self.full), (2 * w, self.half)):
+                some = np.flatnonzero((self.width[x] == w) & (self.width[y] == up))
+                if len(some):
+                    a, b = self.full[w][self.at[x[some]]], source[up][self.at[y[some]]]
+                    only_a, only_b = (np.bitwise_count(k).sum(axis=1, dtype=np.int64) for k in (a & ~b, b & ~a))
+                    out[some] = np.minimum(self.n[x[some]] - only_a, self.n[y[some]] - only_b)
+        return out
+
+
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, signs = [], [], []
             for _, texts in _texts(batch, 1):
                 for s in shingle_sets(texts, words):
                     sizes.append(len(s))
                     classes.append(_identity(s))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], ["doc_id", "n", "cls"])
+                    signs.append(signature(s))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(signs, pa.binary())], ["doc_id", "n", "cls", "sign"])
 
     return run
 
@@ -117,20 +158,34 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told(held)
 
 
-def _signed(words: int, bits: int):
+def _of_class(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Texts of the classes that share keys, with bitmap signatures; rows of an id whose text is of another class are dropped."""
+        """Rows (cls, text) whose text is of the class; rows of one id can differ."""
         for batch in batches:
-            for at, texts in _texts(batch, 2):
-                part = batch.slice(at, len(texts))
-                keep, signs = [], []
-                for cls, s in zip(part.column(0).to_pylist(), shingle_sets(texts, words), strict=True):
-                    keep.append(cls == _identity(s))
-                    flat = np.zeros(bits, np.uint8)
-                    flat[(s >> np.uint64(40)) % np.uint64(bits)] = 1
-                    signs.append(np.packbits(flat).tobytes())
-                columns = [part.column(0), part.column(1), part.column(2), pa.array(signs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["cls", "rep", "text", "sign"]).filter(pa.array(keep))
+            keep = [c == _identity(s) for at, texts in _texts(batch, 1) for c, s in zip(batch.column(0).slice(at, len(texts)).to_pylist(), shingle_sets(texts, words), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _alike(n_x: np.ndarray, n_y: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * both >= percent * (n_x + n_y - both)
+
+
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs (a, n_a, sign_a, b, n_b, sign_b) whose signatures allow enough in common."""
+        for batch in batches:
+            n_a, n_b = batch.column(1).to_numpy(), batch.column(4).to_numpy()
+            near = np.flatnonzero(100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+            k = len(near)
+            part = batch.take(pa.array(near))
+            sets = Signatures(np.concatenate([n_a[near], n_b[near]]), part.column(2).to_pylist() + part.column(5).to_pylist())
+            x, y = np.arange(k), np.arange(k) + k
+            swap = sets.n[x] > sets.n[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            keep = _alike(sets.n[x], sets.n[y], sets.most(x, y), percent) if k else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3)], ["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -157,25 +212,26 @@ def _tile(percent: int):
         rows = rows.sort_by([("key", "ascending"), ("n", "ascending"), ("cls", "ascending")])
         keys, cls, comp, n, block = (rows[c].to_numpy() for c in ("key", "cls", "component", "n", "block"))
         n = n.astype(np.int64)
-        signs = np.frombuffer(b"".join(rows["sign"].to_pylist()), np.uint64).reshape(len(cls), -1)
-        bits = np.bitwise_count(signs).sum(axis=1).astype(np.int64)
+        sets = Signatures(n, rows["sign"].to_pylist())
         starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
         lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for first, last in zip(starts, np.append(starts[1:], len(keys)), strict=True):
-            for x in range(first, last - 1):
-                # Sizes ascend: the band of x ends where a size is too large for it.
-                end = first + int(np.searchsorted(n[first:last], n[x] * 100 // percent, "right"))
-                y = np.arange(x + 1, end)
-                y = y[comp[y] != comp[x]]
+        x, ends = np.arange(len(keys)), np.zeros(len(keys), np.int64)
+        for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+            # Sizes ascend: the band of a row ends where sizes are too large for it.
+            ends[first:last] = first + np.searchsorted(n[first:last], n[first:last] * 100 // percent, "right")
+        step = 1
+        while len(x := x[x + step < ends[x]]):
+            for at in range(0, len(x), 1 << 16):
+                left = x[at : at + (1 << 16)]
+                right = left + step
+                open_ones = comp[left] != comp[right]
                 if i != j:
-                    y = y[block[y] != block[x]]
-                if not len(y):
-                    continue
-                common = np.bitwise_count(signs[y] & signs[x]).sum(axis=1).astype(np.int64)
-                most = np.minimum(n[x] - (bits[x] - common), n[y] - (bits[y] - common))
-                y = y[100 * most >= percent * (n[x] + n[y] - most)]
-                lefts.append(np.full(len(y), x))
-                rights.append(y)
+                    open_ones &= block[left] != block[right]
+                left, right = left[open_ones], right[open_ones]
+                good = _alike(n[left], n[right], sets.most(left, right), percent)
+                lefts.append(left[good])
+                rights.append(right[good])
+            step += 1
         a, b = cls[np.concatenate(lefts)], cls[np.concatenate(rights)]
         return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
@@ -204,13 +260,15 @@ def near_duplicates(
 
     Scale: linear in the text and in keys (a fifth of all shingles, 64-bit hashes); frequent shingles, told by a
     bounded sample, come last in the order, so that common passages are no keys. Texts are shuffled only to fetch those of classes that share a
-    key. Everything between is staged in the shared folder.
+    pair that its signatures allow. Everything between is staged in the shared folder.
 
     Null or empty texts, and those without words, have no shingles and are linked with nothing. Repeated rows are copies. A null id has a null
     component unless a text like it has an id. An empty table gives no rows. Only the two named columns are read.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be from 50 to 100")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = stage(rows.mapInArrow(_sets(words), "doc_id long, n long, cls long"), "sets")
+    sets = stage(rows.mapInArrow(_sets(words), "doc_id long, n long, cls long, sign binary"), "sets")
     share = min(1.0, ORDER_SAMPLE / max(1, sets.count()))
     picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
     counted = picked.select("text").mapInArrow(_sampled(words), "shingle long").groupBy("shingle").count()
@@ -220,24 +278,32 @@ def near_duplicates(
     keys = rows.select("text").mapInArrow(_keys(words, percent, frequent), "key long, cls long, n int")
     shared = keys.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(_shared, "key long, cls long, n int, low long, high long")
     shared = stage(shared, "shared_keys")
-    reps = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    wanted = reps.join(shared.select("cls").distinct(), "cls").where(F.col("rep").isNotNull())
-    texts = rows.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("cls", "doc_id", "text")
-    texts = stage(texts.mapInArrow(_signed(words, SIGNATURE_BITS), "cls long, rep long, text string, sign binary"), "class_texts")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        left = texts.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b"), F.col("text").alias("text_b"))
-        both = pairs.join(left, "a").join(right, "b").select("rep_a", "rep_b", "text_a", "text_b")
-        return both.mapInArrow(_verified(words, percent), "a long, b long")
-
+    reps = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sign").alias("sign"))
     ends = shared.groupBy("cls").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    tries = ends.select(F.col("cls").alias("a"), F.explode(F.array_distinct(F.array("low", "high"))).alias("b")).where("a <> b")
-    first = stage(linked(tries), "first_links")
-    part = components(first)
-    of_class = texts.select("cls", "rep", "sign").dropDuplicates(["cls"]).join(part.withColumnRenamed("id", "rep"), "rep", "left")
-    of_class = stage(of_class.select("cls", "sign", F.coalesce("component", "rep").alias("component")), "class_components")
-    open_keys = shared.select("key", "cls", "n").join(of_class.select("cls", "component"), "cls")
+    classes = stage(reps.join(ends, "cls").where(F.col("rep").isNotNull()), "classes")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """Of pairs (a, b) of classes those that are alike, as ids of their first documents."""
+        both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        wanted = classes.select("cls", F.col("rep").alias("doc_id")).join(both, "cls")
+        texts = stage(rows.join(wanted, "doc_id").select("cls", "text").mapInArrow(_of_class(words), "cls long, text string"), f"{name}_texts")
+        left = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
+        each = left.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+        found = each.mapInArrow(_verified(words, percent), "a long, b long").distinct()
+        names = classes.select("cls", "rep")
+        found = found.join(names.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a")), "a").join(names.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b")), "b")
+        return stage(found.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), f"{name}_links")
+
+    side = lambda x: classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sign").alias(f"sign_{x}"))
+    tries = classes.select(F.col("cls").alias("a"), F.explode(F.array_distinct(F.array("low", "high"))).alias("b")).where("a <> b")
+    tries = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    signed = tries.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "sign_a", "b", "n_b", "sign_b")
+    tries = stage(signed.mapInArrow(_possible(percent), "a long, b long"), "first_pairs")
+    first = linked(tries, "first")
+
+    part = components(first).withColumnRenamed("id", "rep")
+    of_class = stage(classes.join(part, "rep", "left").select("cls", "sign", F.coalesce("component", "rep").alias("component")), "class_components")
+    open_keys = shared.select("key", "cls").join(of_class.select("cls", "component"), "cls")
     crossed = open_keys.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).where("x <> y")
     crossed = stage(crossed.select("key", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"), "rows"), "open_keys")
     groups = max(1, (crossed.agg(F.sum("rows")).head()[0] or 0) // tile_rows)
@@ -246,9 +312,10 @@ def near_duplicates(
     group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.col("key")).alias("grp")
     tiles = tiles.select("key", "cls", "n", "block", group, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     near = tiles.join(of_class, "cls").groupBy("grp", "i", "j").applyInArrow(_tile(percent), "a long, b long").distinct()
-    second = stage(linked(near), "second_links")
-    part = components(first.unionByName(second))
-    of_rep = reps.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
-    found = sets.join(of_rep, "cls", "left")
+    second = linked(stage(near.join(tries, ["a", "b"], "left_anti"), "second_pairs"), "second")
+
+    part = components(first.unionByName(second)).withColumnRenamed("id", "rep")
+    of_rep = reps.select("cls", "rep").join(part, "rep", "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
+    found = sets.select("doc_id", "n", "cls").join(of_rep, "cls", "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
