@@ -117,6 +117,20 @@ def mixed_sizes(copies: DataFrame) -> DataFrame:
     return copies.groupBy("row_id").agg(*same, F.sum("taken").alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """``docs`` with every row as often as its mix ``copies`` takes it; documents without words stay once.
+
+    Rows of one id and source are told apart by number, so each of them gets the copies of one. Texts are shuffled once.
+    """
+    took = (F.col("taken") > 0) | ((F.col("size") == 0) & (F.col("epoch") == 0))
+    times = copies.where(took).groupBy("row_id").agg(F.first("doc_id").alias("mix_id"), F.first("source").alias("mix_source"), F.count("*").cast("int").alias("mix_times"))
+    times = times.withColumn("mix_row", F.row_number().over(Window.partitionBy("mix_id", "mix_source").orderBy(F.desc("mix_times"), "row_id"))).drop("row_id")
+    numbered = docs.withColumn("doc_row", F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.lit(0))))
+    same = F.col(id_col).eqNullSafe(F.col("mix_id")) & F.col(source_col).eqNullSafe(F.col("mix_source")) & (F.col("doc_row") == F.col("mix_row"))
+    repeated = numbered.join(times, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
+    return repeated.select(*docs.columns)
+
+
 #: The same mix in DuckDB.
 SQL = r"""
 WITH slim AS (
