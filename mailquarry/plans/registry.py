@@ -5,11 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mailquarry.functions.body import GROUPS, body_features
+from mailquarry.plans import fixtures
+from mailquarry.plans.body_sql import body_sql
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Add a query under a name, with the DuckDB SQL that gives the same rows."""
+
+    def add(query: Query) -> Query:
+        _queries[name] = query
+        if sql:
+            _sql[name] = sql
+        return query
+
+    return add
+
+
+def _body(groups: tuple[str, ...]) -> Query:
+    return lambda spark, sf_dir: body_features(fixtures.emails(spark, sf_dir), groups=groups)
+
+
+for _group in GROUPS:
+    register(f"body_{_group}", body_sql((_group,)))(_body((_group,)))
+register("body_all", body_sql(tuple(GROUPS)))(_body(tuple(GROUPS)))
+
+
+@register("body_blank", body_sql(tuple(GROUPS), "NOT coalesce(regexp_matches(body, '[^ \\n\\t]'), false)"))
+def body_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank and missing bodies only."""
+    mails = fixtures.emails(spark, sf_dir)
+    return body_features(mails.where(~F.coalesce(F.rlike("body", F.lit(r"[^ \n\t]")), F.lit(False))))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All body features of every mail."""
+    return _body(tuple(GROUPS))(spark, sf_dir)
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
