@@ -38,7 +38,7 @@ SELECT CAST(d.doc_id AS STRING) AS email_id,
        concat_ws(concat(chr(13), chr(10)),
          CASE d.doc_id % 8
            WHEN 0 THEN concat('From: Alice Smith <alice', d.doc_id, '@example.com>') WHEN 1 THEN 'From: bob@gmail.com'
-           WHEN 2 THEN 'FROM: carol@example.org <carol@example.org>' WHEN 3 THEN 'From: =?UTF-8?B?QWJj?= <dave@yahoo.com>'
+           WHEN 2 THEN 'FROM: "carol@example.org" <carol@example.org>' WHEN 3 THEN 'From: =?UTF-8?B?QWJj?= <dave@yahoo.com>'
            WHEN 4 THEN concat('From: J', chr(252), 'rgen <j99@example.net>') WHEN 5 THEN 'From: "Eve" <eve@hotmail.com>'
            WHEN 6 THEN NULL ELSE 'from: <frank@Example.COM>' END,
          CASE d.doc_id % 4 WHEN 0 THEN 'Return-Path: <bounce@example.com>' WHEN 1 THEN 'Return-Path: <x@other.org>' WHEN 2 THEN NULL ELSE 'Return-Path: frank@example.com' END,

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailquarry.functions import headers, urls
 from mailquarry.functions.body import GROUPS, body_features
-from mailquarry.plans import fixtures
+from mailquarry.plans import fixtures, mail_sql
 from mailquarry.plans.body_sql import body_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,28 @@ def body_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body_features(mails.where(~F.coalesce(F.rlike("body", F.lit(r"[^ \n\t]")), F.lit(False))))
 
 
+for _group in headers.GROUPS:
+    register(f"hdr_{_group}", mail_sql.headers_sql((_group,)))(lambda spark, sf_dir, g=_group: headers.header_features(fixtures.emails(spark, sf_dir), groups=(g,)))
+register("hdr_all", mail_sql.headers_sql(tuple(headers.GROUPS)))(lambda spark, sf_dir: headers.header_features(fixtures.emails(spark, sf_dir)))
+
+
+@register("header_list", mail_sql.HEADER_LIST)
+def header_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header names of every mail."""
+    return fixtures.emails(spark, sf_dir).select("email_id", headers.header_list(headers.header_table(F.col("raw_headers"))).alias("header_list"))
+
+
+for _kind, _find in (("http", urls.http_urls), ("bare", urls.bare_urls), ("www", urls.www_urls)):
+
+    def _urls(spark: SparkSession, sf_dir: str, find: Callable = _find) -> DataFrame:
+        found = fixtures.emails(spark, sf_dir).select("email_id", F.posexplode(find(F.col("body"))).alias("pos", "url"))
+        return found.withColumn("pos", F.col("pos").cast("long"))
+
+    register(f"urls_{_kind}", mail_sql.url_kind_sql(_kind))(_urls)
+register("urls_per_mail", mail_sql.URLS_PER_MAIL)(lambda spark, sf_dir: urls.url_table(fixtures.emails(spark, sf_dir)))
+register("url_wordlist", mail_sql.URL_WORDLIST)(lambda spark, sf_dir: urls.url_wordlist(fixtures.emails(spark, sf_dir)))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All body features of every mail."""
     return _body(tuple(GROUPS))(spark, sf_dir)
