@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mailquarry.functions import headers, urls
 from mailquarry.functions.body import GROUPS, body_features
-from mailquarry.plans import fixtures, mail_sql
+from mailquarry.plans import fixtures, mail_sql, other_queries
 from mailquarry.plans.body_sql import body_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +67,12 @@ register("urls_per_mail", mail_sql.URLS_PER_MAIL)(lambda spark, sf_dir: urls.url
 register("url_wordlist", mail_sql.URL_WORDLIST)(lambda spark, sf_dir: urls.url_wordlist(fixtures.emails(spark, sf_dir)))
 
 
+other_queries.register_all(register)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All body features of every mail."""
-    return _body(tuple(GROUPS))(spark, sf_dir)
+    """All features of every mail."""
+    return _queries["pipeline_wide"](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
