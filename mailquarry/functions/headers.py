@@ -8,6 +8,7 @@ from email.utils import parseaddr, parsedate_tz
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mailquarry.functions.text import count_char, matches
 
@@ -19,7 +20,9 @@ OFFICE_HOURS = (8, 18)
 MOST_SEMICOLONS = 10
 LARGEST_OFFSET = 50_400
 
-RFC_SCHEMA = "struct<display:string,address:string,reply:string,weekday:int,hour:int,tz:int>"
+RFC_SCHEMA = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("display", "address", "reply")] + [T.StructField(n, T.IntegerType()) for n in ("weekday", "hour", "tz")]
+)
 
 
 def header_table(raw: Column) -> Column:

@@ -24,7 +24,7 @@ _JOB = f"email_id string, og_fname string, header_list string, raw_headers strin
 
 
 def read_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
-    """Every file below the paths, whatever its name, or those that match a glob: path, modificationTime, length, content."""
+    """Every file below the paths, whatever its name, or those that match a glob: path, modificationTime, length, content. Spark leaves out files without a byte."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(paths)
 
