@@ -64,16 +64,32 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int32)  # texts that had the piece
         self.used = 0
 
+    def _forget(self) -> None:
+        """Drop the pieces of few texts, so that at most half of the cache stays."""
+        n = len(self.known)
+        uses, starts, lengths, ids = self.uses[:n], self.starts[:n], self.lengths[:n], self.ids
+        least = max(2, int(np.partition(uses, n // 2)[n // 2]) + 1)
+        stay = np.flatnonzero(uses >= least)
+        pieces = list(self.known)
+        kept = [pieces[i] for i in stay.tolist()]
+        self._clear()
+        total = lengths[stay]
+        ends = np.cumsum(total)
+        self._add(kept, ids[np.repeat(starts[stay] - ends + total, total) + np.arange(ends[-1] if len(ends) else 0)], total)
+        self.uses[: len(kept)] = uses[stay] // 2
+
     def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n, m = len(self.known), len(self.known) + len(pieces)
         while m > len(self.starts):
-            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
+            self.starts, self.lengths, self.uses = (np.resize(x, 2 * len(x)) for x in (self.starts, self.lengths, self.uses))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.ids[self.used : self.used + len(ids)] = ids
         self.lengths[n:m] = lengths
+        self.uses[n:m] = 0
         self.starts[n:m] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
         self.known.update(zip(pieces, range(n, m), strict=True))
@@ -116,8 +132,8 @@ class Encoder:
         words = set().union(*(x for x in split if x))
         if new := words.difference(self.known):
             if len(self.known) + len(new) > _CACHE_PIECES and self.known:
-                self._clear()
-                new = words
+                self._forget()
+                new = words.difference(self.known)
             self._learn(new)
         return [self._encode(t) if x is None else self._gather(x) for t, x in zip(texts, split, strict=True)]
 
@@ -125,6 +141,7 @@ class Encoder:
         if not pieces:
             return np.zeros(0, np.uint32)
         at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        self.uses[at] += 1
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         return self.ids[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1])]
