@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, pii, quality
+from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, pii, quality, repeats
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -53,6 +53,10 @@ def op5_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(vectors(spark, sf_dir))
 
 
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_templates": op3_line_templates,
     "op4_quality": op4_quality,
     "op5_embedding_duplicates": op5_embedding_duplicates,
+    "op7_repeated_bytes": op7_repeated_bytes,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
