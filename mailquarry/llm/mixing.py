@@ -43,7 +43,7 @@ def sources(sizes: DataFrame, weights: Sequence[float], max_epochs: int) -> Data
     queued = F.sum("weight").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     ranked = ranked.withColumn("budget", F.sum("source_size").over(everything)).withColumn("ended", ended).withColumn("queued", queued)
     ranked = ranked.withColumn("level_if_next", (F.col("budget") - F.col("ended")) / F.col("queued"))
-    level = F.min(F.when(F.col("level_if_next") <= F.col("ends"), F.col("level_if_next"))).over(everything)
+    level = F.max(F.when(F.col("level_if_next") <= F.col("ends"), F.col("level_if_next"))).over(everything)
     ranked = ranked.withColumn("level", level)
     target = F.when(F.col("ends") < F.col("level"), F.col("most").cast("double")).otherwise(F.col("weight") * F.col("level"))
     return ranked.select("source", "source_size", "source_rank", "weight", target.alias("target"), "level", "budget")
@@ -150,7 +150,7 @@ levels AS (
          (CAST(sum(source_size) OVER () AS BIGINT) - coalesce(CAST(sum(most) OVER (ORDER BY ends, source_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0))
          / sum(weight) OVER (ORDER BY ends, source_rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level_if_next
   FROM queue),
-level AS (SELECT min(level_if_next) AS level FROM levels WHERE level_if_next <= ends),
+level AS (SELECT max(level_if_next) AS level FROM levels WHERE level_if_next <= ends),
 sources AS (
   SELECT source, source_size, source_rank, weight, level, budget,
          CASE WHEN ends < level THEN CAST(most AS DOUBLE) ELSE weight * level END AS target
