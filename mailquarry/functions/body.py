@@ -78,12 +78,16 @@ def _spaced(patterns: tuple[str, ...]) -> str:
 
 
 class Body:
-    """The texts that the features read, from a body column: blank or null bodies are empty."""
+    """The texts that the features read: a body, empty if it is blank or null, and its lower case."""
 
-    def __init__(self, body: Column) -> None:
+    def __init__(self, text: Column, lower: Column) -> None:
+        self.text, self.lower = text, lower
+
+    @classmethod
+    def of(cls, body: Column) -> Body:
         filled = F.coalesce(body, F.lit(""))
-        self.text = F.when(matches(filled, f"[^{SPACE}]"), filled).otherwise(F.lit(""))
-        self.lower = F.lower(self.text)
+        text = F.when(matches(filled, f"[^{SPACE}]"), filled).otherwise(F.lit(""))
+        return cls(text, F.lower(text))
 
 
 def urgency(b: Body) -> dict[str, Column]:
@@ -193,12 +197,26 @@ GROUPS = {
 }
 
 
+def _columns(texts: Body, groups: tuple[str, ...]) -> dict[str, Column]:
+    return {name: column for g in groups for name, column in GROUPS[g](texts).items()}
+
+
 def body_columns(body: Column, groups: tuple[str, ...] = tuple(GROUPS)) -> dict[str, Column]:
     """Feature columns by name, usable in any select, on tables and streams alike."""
-    texts = Body(body)
-    return {name: column for g in groups for name, column in GROUPS[g](texts).items()}
+    return _columns(Body.of(body), groups)
+
+
+def with_body_features(df: DataFrame, body: str = "body", groups: tuple[str, ...] = tuple(GROUPS)) -> DataFrame:
+    """``df`` with the feature columns added.
+
+    The cleaned text and its lower case are columns of a projection of their own, which the optimizer
+    keeps apart as they are used many times, so each is computed once per row.
+    """
+    texts = Body.of(F.col(body))
+    rows = df.withColumn("_text", texts.text).withColumn("_lower", F.lower("_text"))
+    return rows.withColumns(_columns(Body(F.col("_text"), F.col("_lower")), groups)).drop("_text", "_lower")
 
 
 def body_features(df: DataFrame, body: str = "body", key: str = "email_id", groups: tuple[str, ...] = tuple(GROUPS)) -> DataFrame:
     """(key, features): a row per mail; blank or null bodies have zeros and false throughout."""
-    return df.select(key, *[c.alias(n) for n, c in body_columns(F.col(body), groups).items()])
+    return with_body_features(df.select(key, F.col(body).alias("_body")), "_body", groups).drop("_body")

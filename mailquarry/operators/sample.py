@@ -13,6 +13,11 @@ def with_label(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("label", F.lit(label))
 
 
+def start_share(seed: int) -> float:
+    """Where a sample starts, as a share of all possible starts."""
+    return random.Random(seed).random()
+
+
 def contiguous(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows that follow each other in the order of ``key``, from a seeded random start; all rows if there are no more.
 
@@ -21,7 +26,7 @@ def contiguous(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     total = df.count()
     if n >= total:
         return df
-    start = random.Random(seed).randint(0, total - n)
+    start = int(start_share(seed) * (total - n + 1))
     span = df.select(key).orderBy(key).offset(start).limit(n)
     ends = span.agg(F.min(key).alias("first"), F.max(key).alias("last")).head()
     return df.where(F.col(key).between(ends["first"], ends["last"]))

@@ -88,7 +88,9 @@ def register_all(register) -> None:
     def label_static(spark, sf_dir):
         return sample.with_label(table(spark, sf_dir, "documents").select("doc_id"), "ham")
 
-    @register("contiguous_sample")
+    @register("contiguous_sample", f"""
+SELECT * EXCLUDE (row_no, total) FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row_no, count(*) OVER () AS total FROM documents)
+WHERE row_no - CAST(floor({sample.start_share(SAMPLE_SEED)!r} * (total - {SAMPLE_ROWS} + 1)) AS BIGINT) BETWEEN 0 AND {SAMPLE_ROWS - 1}""")
     def contiguous_sample(spark, sf_dir):
         return sample.contiguous(table(spark, sf_dir, "documents"), "doc_id", SAMPLE_ROWS, SAMPLE_SEED)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailquarry.functions.body import body_columns
+from mailquarry.functions.body import body_features, with_body_features
 from mailquarry.functions.headers import header_features
 from mailquarry.functions.urls import extract_urls, url_wordlist
 from mailquarry.sources.eml import ingest
@@ -14,8 +14,8 @@ from mailquarry.sources.files import write_wordlist
 
 def wide_features(mails: DataFrame) -> DataFrame:
     """All header and body features and the number of URLs, a row per mail. Both sides come from the same row, so nothing is joined or shuffled."""
-    body = [c.alias(n) for n, c in body_columns(F.col("body")).items()]
-    texts = mails.select("email_id", "raw_headers", *body, F.size(extract_urls(F.col("body"))).cast("long").alias("url_count"))
+    urls = F.size(extract_urls(F.col("_body"))).cast("long").alias("url_count")
+    texts = with_body_features(mails.select("email_id", "raw_headers", F.col("body").alias("_body")), "_body").select("*", urls).drop("_body")
     names = [c for c in texts.columns if c not in ("email_id", "raw_headers")]
     packed = texts.select(F.struct("email_id", *names).alias("email_id"), "raw_headers")
     heads = header_features(packed)
@@ -30,8 +30,7 @@ def run_pipeline(spark: SparkSession, source: str | list[str], target: str, labe
     paths = {n: f"{target}/{n}" for n in ("parsed", "body_features", "header_features", "urls")}
     ingest(spark, source, glob, label).write.mode(mode).parquet(paths["parsed"])
     mails = spark.read.parquet(paths["parsed"])
-    body = [c.alias(n) for n, c in body_columns(F.col("body")).items()]
-    mails.select("email_id", *body).write.mode(mode).parquet(paths["body_features"])
+    body_features(mails).write.mode(mode).parquet(paths["body_features"])
     header_features(mails).write.mode(mode).parquet(paths["header_features"])
     write_wordlist(url_wordlist(mails), paths["urls"], mode)
     return paths
