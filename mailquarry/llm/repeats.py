@@ -159,7 +159,8 @@ def _sorted_shard(length: int, anchor: int):
         at = np.flatnonzero(hit)
         owner = np.searchsorted(starts, at, "right") - 1
         ahead = n_left[owner] - (at - starts[owner])  # bytes before the anchor
-        good = (ahead >= 0) & (state[owner] == OPEN)
+        inside = ahead + n_right[owner] >= span  # else the window runs into the next context
+        good = (ahead >= 0) & inside & (state[owner] == OPEN)
         first = pos[owner[good]].astype(np.int64) - ahead[good]
         return pa.table({"doc": pa.array(doc[owner[good]], pa.int64()), "first": pa.array(first.astype(np.int32)), "last": pa.array((first + length).astype(np.int32))})
 

@@ -290,6 +290,13 @@ def test_repeats_of_near_copies(spark):
     assert [got[i] for i in range(25)] == H.repeated([t.encode() for t in texts], 400)
 
 
+def test_repeats_at_the_ends_of_texts(spark):
+    texts = [H.sentence(30 + k, 80) + " " + H.sentence(29, 200)[: 330 + 10 * (k % 10)] for k in range(30)]
+    texts += [H.sentence(29, 200)[k : 400 + k] + H.sentence(70 + k, 30) for k in range(0, 60, 7)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(H.documents(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == H.repeated([t.encode() for t in texts], 400)
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
     for _ in range(200):
