@@ -283,12 +283,15 @@ def near_duplicates(
     classes = stage(reps.join(ends, "cls").where(F.col("rep").isNotNull()), "classes")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """Of pairs (a, b) of classes those that are alike, as ids of their first documents."""
+        """Of pairs (a, b) of classes those that are alike, as ids of their first documents.
+
+        Many pairs can share their b; its text is joined first, to slim rows, so that texts then travel by a.
+        """
         both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         wanted = classes.select("cls", F.col("rep").alias("doc_id")).join(both, "cls")
         texts = stage(rows.join(wanted, "doc_id").select("cls", "text").mapInArrow(_of_class(words), "cls long, text string"), f"{name}_texts")
-        left = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-        each = left.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+        right = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
+        each = right.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
         found = each.mapInArrow(_verified(words, percent), "a long, b long").distinct()
         names = classes.select("cls", "rep")
         found = found.join(names.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a")), "a").join(names.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b")), "b")
@@ -296,7 +299,7 @@ def near_duplicates(
 
     side = lambda x: classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sign").alias(f"sign_{x}"))
     tries = classes.select(F.col("cls").alias("a"), F.explode(F.array_distinct(F.array("low", "high"))).alias("b")).where("a <> b")
-    tries = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tries = tries.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).dropDuplicates(["x", "y"]).select("a", "b")
     signed = tries.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "sign_a", "b", "n_b", "sign_b")
     tries = stage(signed.mapInArrow(_possible(percent), "a long, b long"), "first_pairs")
     first = linked(tries, "first")
@@ -312,7 +315,8 @@ def near_duplicates(
     group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.col("key")).alias("grp")
     tiles = tiles.select("key", "cls", "n", "block", group, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     near = tiles.join(of_class, "cls").groupBy("grp", "i", "j").applyInArrow(_tile(percent), "a long, b long").distinct()
-    second = linked(stage(near.join(tries, ["a", "b"], "left_anti"), "second_pairs"), "second")
+    tried = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = linked(stage(near.join(tried, ["a", "b"], "left_anti"), "second_pairs"), "second")
 
     part = components(first.unionByName(second)).withColumnRenamed("id", "rep")
     of_rep = reps.select("cls", "rep").join(part, "rep", "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
