@@ -42,7 +42,8 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     lines = _occurrences(docs, id_col, text_col, leading)
     places = stage(lines.drop("tokens"), "lines")
     docs_of = lambda keys: places.groupBy(*keys, "doc_id", "twin").agg(F.lit(1).alias("one")).groupBy(*keys).agg(F.sum("one").alias("docs"))
-    leaves = docs_of(["leaf"]).where(F.col("docs") >= min_docs).select("leaf")
+    # Right sides of joins with hot keys are staged, which leaves Spark free to split the left sides.
+    leaves = stage(docs_of(["leaf"]).where(F.col("docs") >= min_docs).select("leaf"), "leaves")
     places = stage(places.join(leaves, "leaf"), "leaf_lines")
     per_line = docs_of(["leaf", "line_key"])
 
@@ -70,7 +71,7 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     at = stage(places.join(templates, ["leaf", "line_key"]).select("template", "doc_id", "twin", "pos"), "template_lines")
     per_doc = at.groupBy("template", "doc_id", "twin").agg(F.min("pos").alias("pos"))
     common = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc_id", "twin", "pos")).alias("first")).where(F.col("docs") >= min_docs)
-    found = at.join(common, "template")
+    found = at.join(stage(common, "templates_to_drop"), "template")
     return found.where(~F.struct("doc_id", "twin", "pos").eqNullSafe(F.col("first"))).select("doc_id", "twin", "pos")
 
 
