@@ -46,3 +46,12 @@ def test_stages_in_turn(spark, sf_dir):
     first = inputs["line dedup"]
     good = [r for r in inputs["quality classifier"] if labels.get(r.doc_id) == 1]
     assert len({r.doc_id for r in first} & {r.doc_id for r in good}) >= 0.97 * len(good)
+
+
+@pytest.mark.parametrize("rows", [None, []])
+def test_stages_take_awkward_tables(spark, sf_dir, rows):
+    """Nulls, repeated rows, clashing columns; and no row at all."""
+    docs = H.documents(spark, rows)
+    for _, step in corpus_pipeline.STAGES:
+        docs = step(spark, docs, sf_dir).cache()
+        assert (docs.count() > 0) == (rows is None)
