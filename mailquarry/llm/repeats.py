@@ -239,7 +239,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = max(1, -(-waiting.count() // shard_contexts))
     texts = rows.select("doc", "text").join(picks, "doc").dropDuplicates(["doc"])
     cut = texts.select("doc", "text", "picks").mapInArrow(_cut_out(length, anchor), "h long, doc long, pos int, state byte, left binary, right binary")
-    spans = cut.groupBy(F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard")).applyInArrow(_sorted_shard(length, anchor), "doc long, first int, last int")
+    # Shards are small in bytes but not in work, so their number of partitions is given.
+    sharded = cut.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(shards, "shard")
+    spans = sharded.groupBy("shard").applyInArrow(_sorted_shard(length, anchor), "doc long, first int, last int")
     spans = stage(spans, "strings").groupBy("doc").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     places = known.where(F.col("state") != OPEN).groupBy("doc").agg((F.max("times") > 1).alias("loops"), F.collect_list("pos").alias("places"))
     facts = copied.withColumn("copied", F.lit(True)).join(places, "doc", "full").join(spans, "doc", "full")
