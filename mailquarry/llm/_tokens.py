@@ -13,7 +13,8 @@ _ODD = re.compile("[\x01\x1c-\x1f\x85᠎​﻿]")
 #: White space that is not a single space or line break between words.
 _UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z")
 _CHUNK = re.compile(r"\s*\S+|\s+")
-_CACHE_PIECES = 1_000_000
+#: Pieces that a worker's cache holds: words alone, and words with the white space before them.
+_CACHE_PIECES = {False: 500_000, True: 1_000_000}
 _AT_ONCE = 2_000
 #: The characters that stand for bytes in byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 and up.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -131,7 +132,7 @@ class Encoder:
         split = [None if t and _ODD.search(t) else self.split(t or "") for t in texts]
         words = set().union(*(x for x in split if x))
         if new := words.difference(self.known):
-            if len(self.known) + len(new) > _CACHE_PIECES and self.known:
+            if len(self.known) + len(new) > _CACHE_PIECES[self.keep_space] and self.known:
                 self._forget()
                 new = words.difference(self.known)
             self._learn(new)

@@ -10,7 +10,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0x100000001B3)
 _BACK = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 #: Bytes of text hashed together.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -17,7 +17,7 @@ MAX_TRAINING_ROWS = 8_000
 EPOCHS = 4
 THRESHOLD = 0.3
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE = 500_000
+_CACHE = 150_000
 _known: dict[str, int] = {}
 _hashes = np.zeros(1 << 16, np.uint64)
 _shapes = np.zeros(1 << 16, np.uint64)
