@@ -14,9 +14,13 @@ from mailquarry.llm._graph import components
 from mailquarry.llm._runtime import stage
 
 MIN_COSINE = 0.9
-#: Width of the quantised projections of normalised vectors, and how many tables of them are kept.
+#: Width of the quantised projections of normalised vectors, and how many tables of them are kept at least.
 WIDTH = 2.0
 TABLES = 24
+#: Chance with which a pair of the least cosine shall meet in some table.
+RECALL = 0.95
+#: Cells of projections that are computed at once.
+_CELLS = 2_000_000
 #: Vectors that meet in a bucket are compared in blocks of so many.
 BLOCK = 2048
 SEED = 20_011
@@ -40,17 +44,36 @@ def hashes_per_table(n: int) -> int:
     return max(2, math.ceil(math.log(max(n, 8) / 8) / -math.log(unlike)))
 
 
+def agreement(cosine: float, width: float) -> float:
+    """The chance that one projection puts two normalised vectors of this cosine into the same cell."""
+    distance = math.sqrt(max(0.0, 2 - 2 * cosine))
+    if not distance:
+        return 1.0
+    r = width / distance
+    return math.erf(r / math.sqrt(2)) - math.sqrt(2 / math.pi) / r * (1 - math.exp(-r * r / 2))
+
+
+def tables_for(hashes: int, min_cosine: float = MIN_COSINE, width: float = WIDTH, recall: float = RECALL) -> int:
+    """Tables of so many joined projections in which a pair of ``min_cosine`` meets at least once with the chance ``recall``."""
+    meet = agreement(min_cosine, width) ** hashes
+    return TABLES if meet >= 1 else max(TABLES, math.ceil(math.log1p(-recall) / math.log1p(-meet)))
+
+
 def bucket_keys(vectors: np.ndarray, tables: int, hashes: int, width: float, seed: int) -> np.ndarray:
     """A 32-bit bucket key per vector and table: floor((a x + b) / width) for Gaussian a and uniform b, joined."""
     rng = np.random.default_rng(seed + vectors.shape[1])
     a = rng.standard_normal((vectors.shape[1], tables * hashes))
     b = rng.uniform(0, width, tables * hashes)
-    cells = np.floor((vectors @ a + b) / width).astype(np.int64).reshape(len(vectors), tables, hashes)
-    key = np.zeros(cells.shape[:2], np.uint64)
-    for j in range(hashes):
-        key = (key ^ cells[:, :, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(29)
-    return (key >> np.uint64(32)).astype(np.uint32)
+    out = np.zeros((len(vectors), tables), np.uint32)
+    step = max(1, _CELLS // (tables * hashes))
+    for at in range(0, len(vectors), step):
+        cells = np.floor((vectors[at : at + step] @ a + b) / width).astype(np.int64).reshape(-1, tables, hashes)
+        key = np.zeros(cells.shape[:2], np.uint64)
+        for j in range(hashes):
+            key = (key ^ cells[:, :, j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        out[at : at + step] = key >> np.uint64(32)
+    return out
 
 
 def _bucketed(tables: int, hashes: int, width: float, seed: int):
@@ -121,20 +144,22 @@ def near_duplicates(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     min_cosine: float = MIN_COSINE,
-    tables: int = TABLES,
+    tables: int | None = None,
     width: float = WIDTH,
     block: int = BLOCK,
     seed: int = SEED,
 ) -> DataFrame:
     """Vectors whose cosine is at least ``min_cosine``, linked: vec_id, n_links, component_id, kept.
 
-    Normalised vectors fall into one bucket per table, by several joined projections of Gaussian directions; two
-    vectors of cosine 0.9 share at least one of 24 buckets with a chance over 0.9, closer ones more often
-    (0.95: 0.99). Cosines of those that meet are then computed in double precision, so no link is
-    wrong. A pair counts in the first table in which it meets.
+    Normalised vectors fall into one bucket per table, by several joined projections of Gaussian directions. There
+    are as many tables (``tables``, if not given) as it takes that two vectors of cosine ``min_cosine`` share at
+    least one bucket with a chance of 0.95, whatever the number of vectors; closer ones meet more often. Cosines
+    of those that meet are then computed in double precision, so no link is wrong. A pair counts in the
+    first table in which it meets.
 
     Scale: equal vectors are one class with a count, whatever their number. The number of projections per
-    table grows with the logarithm of the classes, so buckets stay small. A bucket over ``block``
+    table grows with the logarithm of the classes, so buckets stay small; the number of tables grows with a small
+    power of the classes, and what is shuffled with it. A bucket over ``block``
     vectors is compared as tiles of two blocks each, in separate tasks. Tiles give counts and
     one edge per linked vector, never pairs.
 
@@ -147,6 +172,7 @@ def near_duplicates(
     member = stage(good.select("vec_id", F.sha2(F.array_join(F.transform("v", lambda x: x.cast("string")), ","), 256).alias("same"), "v"), "vectors")
     classes = stage(member.groupBy("same").agg(F.min("vec_id").alias("cls"), F.count("*").alias("n"), F.first("v").alias("v")), "classes")
     hashes = hashes_per_table(classes.count())
+    tables = tables_for(hashes, min_cosine, width) if tables is None else tables
     units = classes.select("cls", "v").mapInArrow(_bucketed(tables, hashes, width, seed), "cls long, dim int, unit array<double>, keys array<int>")
     units = stage(units.join(classes.select("cls", "n"), "cls"), "units")
     meets = units.select("cls", F.posexplode("keys").alias("t", "key"), "dim")

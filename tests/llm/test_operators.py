@@ -210,6 +210,28 @@ def test_embedding_duplicates(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_recall_holds_for_large_tables(spark, monkeypatch):
+    """Pairs of cosine 0.9 are found with as many projections per table as a million vectors have."""
+    hashes = embeddings.hashes_per_table(1_000_000)
+    monkeypatch.setattr(embeddings, "hashes_per_table", lambda n: hashes)
+    rng = np.random.default_rng(5)
+    a, b = rng.standard_normal((2, 400, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cosine = 0.9 + 1e-9
+    pairs = np.concatenate([a, cosine * a + np.sqrt(1 - cosine**2) * b])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(pairs)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in embeddings.near_duplicates(df).collect()}
+    assert sum(got[i] == got[400 + i] for i in range(400)) >= 0.92 * 400
+
+
+def test_embedding_tables_grow_with_projections():
+    for n in (10, 10_000, 100_000, 10**6, 10**7, 10**9):
+        k = embeddings.hashes_per_table(n)
+        assert 1 - (1 - embeddings.agreement(0.9, 2.0) ** k) ** embeddings.tables_for(k) >= 0.95
+
+
 def test_top_products(spark):
     df = vectors(spark, 3)
     got = embeddings.top_products(df, top=5, query_block=3, row_block=40).collect()
