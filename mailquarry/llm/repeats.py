@@ -167,6 +167,29 @@ def _sorted_shard(length: int, anchor: int):
     return run
 
 
+def _windows(cut: DataFrame, span: int) -> DataFrame:
+    """The strings of contexts: h, ahead (its bytes before the anchor), string (a hash of what it has before and after the anchor), doc, pos, state.
+
+    Equal strings have equal anchors at equal places, so they meet by these three wherever their contexts differ.
+    """
+    before, after = F.octet_length("left"), F.octet_length("right")
+    rows = cut.withColumn("low", F.greatest(F.lit(0), span - after)).withColumn("high", F.least(F.lit(span), before)).where("low <= high")
+    rows = rows.withColumn("ahead", F.explode(F.sequence("low", "high")))
+    head = F.substring("left", before - F.col("ahead") + 1, F.col("ahead"))
+    tail = F.substring("right", F.lit(1), span - F.col("ahead"))
+    return rows.select("h", "ahead", F.xxhash64(head, tail).alias("string"), "doc", "pos", "state")
+
+
+def _hot_strings(cut: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Strings (doc, first, last) of open contexts that stand in another context of their anchor too, by sums over the strings."""
+    windows = _windows(stage(cut, "hot_contexts"), length - anchor)
+    key = ["h", "ahead", "string"]
+    again = stage(windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "hot_strings")
+    found = windows.where(F.col("state") == OPEN).join(again, key)
+    first = F.col("pos") - F.col("ahead")
+    return found.select("doc", first.cast("int").alias("first"), (first + length).cast("int").alias("last"))
+
+
 def _runs(covered: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs that the spans cover."""
     edge = np.zeros(n + 1, np.int64)
@@ -217,11 +240,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     How: texts are cut into contexts around anchors, which equal strings choose alike. Equal contexts are repeated as they stand. Where one anchor has
     several contexts, each is a short sequence with one symbol for the anchor; shards of such sequences get a suffix array by induced sorting, and
     the prefixes shared by neighbours tell which strings stand in two contexts. This decides every string, as each holds an anchor and
-    all contexts of an anchor are in one shard.
+    all contexts of an anchor are in one shard. An anchor with more than ``shard_contexts`` of them is too much for a shard: its contexts are split into their
+    strings, which are counted by anchor, place of the anchor and a hash of the other bytes.
 
     Scale: anchors are a thirtieth of the bytes and travel as hashes; texts are shuffled twice, to cut out open contexts and to remove
-    what is found. Exact copies are told by digests and looked into once per task. Shards are as many as the open contexts need. An anchor with very
-    many different contexts stays in one shard.
+    what is found. Exact copies are told by digests and looked into once per task. Shards are as many as the open contexts need and hold
+    at most ``shard_contexts`` of one anchor; counts of the strings of other anchors are combined before their shuffle. Texts with such anchors are shuffled once more.
 
     Null texts are empty, with n_bytes 0. Rows of equal text, repeated rows too, are copies of each other. Null ids are kept. An empty table gives no rows.
     """
@@ -235,13 +259,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     known = found.repartition("h").sortWithinPartitions("h", "context").mapInArrow(_decided, "h long, doc long, pos int, times byte, state byte")
     known = stage(known, "anchors")
     waiting = known.where(F.col("state") != REPEATED)
-    picks = waiting.groupBy("doc").agg(F.collect_list(F.struct("h", "pos", "state")).alias("picks"))
-    shards = max(1, -(-waiting.count() // shard_contexts))
-    texts = rows.select("doc", "text").join(picks, "doc").dropDuplicates(["doc"])
-    cut = texts.select("doc", "text", "picks").mapInArrow(_cut_out(length, anchor), "h long, doc long, pos int, state byte, left binary, right binary")
+    hot = stage(waiting.groupBy("h").agg(F.count("*").alias("contexts")).where(F.col("contexts") > shard_contexts), "hot_anchors")
+    n_hot = hot.agg(F.sum("contexts")).head()[0] or 0
+
+    def cut_out(some: DataFrame) -> DataFrame:
+        picks = some.groupBy("doc").agg(F.collect_list(F.struct("h", "pos", "state")).alias("picks"))
+        texts = rows.select("doc", "text").join(picks, "doc").dropDuplicates(["doc"])
+        return texts.select("doc", "text", "picks").mapInArrow(_cut_out(length, anchor), "h long, doc long, pos int, state byte, left binary, right binary")
+
+    shards = max(1, -(-(waiting.count() - n_hot) // shard_contexts))
     # Shards are small in bytes but not in work, so their number of partitions is given.
+    cut = cut_out(waiting.join(hot, "h", "left_anti") if n_hot else waiting)
     sharded = cut.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(shards, "shard")
     spans = sharded.groupBy("shard").applyInArrow(_sorted_shard(length, anchor), "doc long, first int, last int")
+    if n_hot:
+        spans = spans.unionByName(_hot_strings(cut_out(waiting.join(hot, "h", "left_semi")), length, anchor))
     spans = stage(spans, "strings").groupBy("doc").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
     places = known.where(F.col("state") != OPEN).groupBy("doc").agg((F.max("times") > 1).alias("loops"), F.collect_list("pos").alias("places"))
     facts = copied.withColumn("copied", F.lit(True)).join(places, "doc", "full").join(spans, "doc", "full")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -319,6 +320,31 @@ def test_repeats_at_the_ends_of_texts(spark):
     assert [got[i] for i in range(len(texts))] == H.repeated([t.encode() for t in texts], 400)
 
 
+def test_repeats_split_hot_anchors(spark, monkeypatch):
+    """A passage among different surroundings, some of them shared by two: no shard gets more contexts of an anchor than it takes."""
+    passage = H.sentence(40, 200)[:450]
+    texts = [H.sentence(200 + k // 2 * (k < 30) + k * (k >= 30), 40)[-70:] + passage + H.sentence(400 + k, 40) for k in range(80)]
+    texts += [H.sentence(300 + k, 40) + passage[:430] + H.sentence(400 + k // 2, 40)[:70] for k in range(20)] + [passage[:405], passage[9:], texts[3]]
+    docs = H.documents(spark, list(enumerate(texts)))
+    sizes = spark.sparkContext.accumulator(0)
+    sort = repeats._sorted_shard
+
+    def counted(length, anchor):
+        run = sort(length, anchor)
+
+        def one(key: tuple, rows: pa.Table) -> pa.Table:
+            if max(Counter(rows["h"].to_pylist()).values()) > 20:
+                sizes.add(1)
+            return run(key, rows)
+
+        return one
+
+    monkeypatch.setattr(repeats, "_sorted_shard", counted)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs, shard_contexts=20).collect()}
+    assert [got[i] for i in range(len(texts))] == H.repeated([t.encode() for t in texts], 400)
+    assert sizes.value == 0
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
     for _ in range(200):
