@@ -21,8 +21,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; one of which nothing is left goes, as every line of it stands elsewhere."""
-    left = lines.dedup(docs).where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Documents without lines of recurring templates and long lines that others have; one of which nothing is left goes, as every line of it stands elsewhere."""
+    left = lines.dedup(docs, long_tokens=lines.LONG_TOKENS).where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -13,6 +13,8 @@ LEADING = 3
 MIN_DOCS = 5
 #: Share of a line's tokens that its template must keep, in percent; below it the line is its own template.
 MIN_KEPT = 70
+#: Lines of more tokens are long: where they are dropped by themselves, two documents are enough.
+LONG_TOKENS = 20
 FIELD = "<*>"
 
 
@@ -26,21 +28,39 @@ def generalised(token: Column) -> Column:
     return F.when(F.translate(token, "0123456789", "") == token, token).otherwise(F.lit(FIELD))
 
 
-def _occurrences(docs: DataFrame, id_col: str, text_col: str, leading: int) -> DataFrame:
-    """A row per line with tokens: doc_id, twin (a hash of the text, which parts rows of one id), pos, line, leaf, line_key."""
+def _occurrences(docs: DataFrame, id_col: str, text_col: str, leading: int, min_kept: int, long_tokens: int | None) -> DataFrame:
+    """A row per line with tokens: doc_id, twin (a hash of the text, which parts rows of one id), pos, tokens, leaf, line_key; with long_tokens long_key, null for other lines.
+
+    A long line's key is its line_key, or a hash of its tokens as they stand if fewer than ``min_kept`` % of them are without digits.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("twin"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
     rows = rows.withColumn("tokens", tokens(F.col("line")))
     plain = F.translate("line", "0123456789", "") == F.col("line")
     fields = F.when(plain, F.col("tokens")).otherwise(F.transform("tokens", generalised))
-    rows = rows.withColumn("tokens", fields).where(F.size("tokens") > 0)
+    rows = rows.withColumn("given", F.col("tokens")).withColumn("tokens", fields).where(F.size("tokens") > 0)
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)).alias("leaf")
-    return rows.select("doc_id", "twin", "pos", "tokens", leaf, F.xxhash64("tokens").alias("line_key"))
+    columns = ["doc_id", "twin", "pos", "tokens", leaf, F.xxhash64("tokens").alias("line_key")]
+    if long_tokens is not None:
+        telling = plain | (F.size(F.array_remove("tokens", FIELD)) * 100 >= F.size("tokens") * min_kept)
+        own = F.when(telling, F.xxhash64("tokens")).otherwise(F.xxhash64("given"))
+        columns.append(F.when(F.size("tokens") > long_tokens, own).alias("long_key"))
+    return rows.select(*columns)
+
+
+def _long_lines(places: DataFrame) -> DataFrame:
+    """Occurrences of long lines that two documents or more have, but the first of each: doc_id, twin, pos."""
+    at = places.where(F.col("long_key").isNotNull()).select("long_key", "doc_id", "twin", "pos")
+    per_doc = at.groupBy("long_key", "doc_id", "twin").agg(F.min("pos").alias("pos"))
+    common = per_doc.groupBy("long_key").agg(F.count("*").alias("docs"), F.min(F.struct("doc_id", "twin", "pos")).alias("first")).where("docs > 1")
+    found = at.join(stage(common.drop("docs"), "long_lines"), "long_key")
+    return found.where(~F.struct("doc_id", "twin", "pos").eqNullSafe(F.col("first"))).select("doc_id", "twin", "pos")
 
 
-def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, leading: int = LEADING, min_kept: int = MIN_KEPT) -> DataFrame:
+def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, leading: int = LEADING, min_kept: int = MIN_KEPT, long_tokens: int | None = None) -> DataFrame:
     """Occurrences to drop: doc_id, twin, pos. See ``dedup``."""
-    lines = _occurrences(docs, id_col, text_col, leading)
-    places = stage(lines.drop("tokens"), "lines")
+    lines = _occurrences(docs, id_col, text_col, leading, min_kept, long_tokens)
+    every = stage(lines.drop("tokens"), "lines")
+    places = every.drop("long_key")
     docs_of = lambda keys: places.groupBy(*keys, "doc_id", "twin").agg(F.lit(1).alias("one")).groupBy(*keys).agg(F.sum("one").alias("docs"))
     # Right sides of joins with hot keys are staged, which leaves Spark free to split the left sides.
     leaves = stage(docs_of(["leaf"]).where(F.col("docs") >= min_docs).select("leaf"), "leaves")
@@ -72,10 +92,11 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     per_doc = at.groupBy("template", "doc_id", "twin").agg(F.min("pos").alias("pos"))
     common = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc_id", "twin", "pos")).alias("first")).where(F.col("docs") >= min_docs)
     found = at.join(stage(common, "templates_to_drop"), "template")
-    return found.where(~F.struct("doc_id", "twin", "pos").eqNullSafe(F.col("first"))).select("doc_id", "twin", "pos")
+    found = found.where(~F.struct("doc_id", "twin", "pos").eqNullSafe(F.col("first"))).select("doc_id", "twin", "pos")
+    return found if long_tokens is None else found.unionByName(_long_lines(every))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, leading: int = LEADING, min_kept: int = MIN_KEPT) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, leading: int = LEADING, min_kept: int = MIN_KEPT, long_tokens: int | None = None) -> DataFrame:
     """``docs`` without lines of templates that recur across documents; adds n_lines and n_dropped.
 
     The tree has a fixed depth: a line goes by its number of tokens, then by its leading tokens, to a leaf.
@@ -85,6 +106,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     documents or more is dropped everywhere but where it occurs first (smallest id, then first line), so
     nothing is lost altogether: of exact copies one keeps its lines.
 
+    With ``long_tokens``, a line of more tokens is also dropped where it recurs as it stands, but for tokens with digits, in two
+    documents or more, everywhere but where it occurs first. If such tokens are over 100 - ``min_kept`` % of the line, they count too.
+
     Scale: lines are told by hashes; only the distinct lines of leaves with enough documents are looked at token by token. Texts
     are shuffled twice, by document: to fetch those lines, and to leave out what goes. Counts are combined before each shuffle,
     and hot templates only meet tables with one row per template.
@@ -92,7 +116,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     Null text: stays null, with 0 lines. Empty or blank lines are never dropped. Repeated rows are one document here, all treated alike.
     Null ids are kept. Columns named n_lines or n_dropped are replaced. An empty table gives no rows.
     """
-    drops = recurring(docs, id_col, text_col, min_docs, leading, min_kept)
+    drops = recurring(docs, id_col, text_col, min_docs, leading, min_kept, long_tokens)
     drops = stage(drops.groupBy(F.col("doc_id").alias("drop_id"), F.col("twin").alias("drop_twin")).agg(F.collect_set("pos").alias("drop_pos")), "drops")
     joined = docs.join(drops, F.col(id_col).eqNullSafe(F.col("drop_id")) & (F.xxhash64(text_col) == F.col("drop_twin")), "left")
     lines = F.split(F.col(text_col), "\n")

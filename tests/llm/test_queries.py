@@ -48,6 +48,20 @@ def test_stages_in_turn(spark, sf_dir):
     assert len({r.doc_id for r in first} & {r.doc_id for r in good}) >= 0.97 * len(good)
 
 
+def test_line_dedup_takes_long_lines_of_few_documents(spark, sf_dir):
+    """Two documents are enough for a long line, digits apart; not for a short one, nor for rows of other numbers."""
+    long, short = H.sentence(50, 60), "a short line of two documents"
+    numbers = [" ".join(str(100 * k + i) for i in range(30)) for k in range(2)]
+    texts = [f"{H.sentence(60 + k, 30)}\n{long} page {k}\n{short}\n{numbers[k % 2]}\n{H.sentence(70 + k, 9)}" for k in range(3)]
+    docs = H.documents(spark, [*enumerate(texts), (3, texts[0]), (None, None)])
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, sf_dir).collect()}
+    parts = [t.split("\n") for t in texts]
+    assert got[0] == texts[0]
+    assert got[1] == "\n".join([parts[1][0], *parts[1][2:]])
+    assert got[2] == "\n".join([parts[2][0], parts[2][2], parts[2][4]])
+    assert got[3] == "\n".join([parts[0][2], parts[0][4]])
+
+
 @pytest.mark.parametrize("rows", [None, []])
 def test_stages_take_awkward_tables(spark, sf_dir, rows):
     """Nulls, repeated rows, clashing columns; and no row at all."""
