@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,13 @@ PERCENT = 80
 #: a set's shingles are tried; any order gives the same links.
 ORDER_SAMPLE = 4000
 ORDER_SHINGLES = 50_000
+#: Sets of one tile at most, and bytes of what a tile holds of them.
 TILE_ROWS = 4096
+TILE_BYTES = 32_000_000
+#: Share of a set's keys, in percent, that it must have in common with its first partner to be compared ahead of all others. It decides the order of work only.
+AHEAD = 40
+#: Bits of a signature for each shingle, at least: of those that are shuffled, and of those made where the shingles are.
+SLIM, WIDE = 2, 8
 _AT_ONCE = 256
 
 
@@ -45,14 +52,14 @@ def _sampled(words: int):
     return run
 
 
-def width(n: int | np.ndarray) -> int | np.ndarray:
-    """Bits of the signature of a set of n: a power of two, twice n at least, 512 at least."""
-    return 1 << np.maximum(9, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) + 1)
+def width(n: int | np.ndarray, share: int = SLIM) -> int | np.ndarray:
+    """Bits of the signature of a set of n: a power of two, ``share`` times n at least, 256 times ``share`` at least."""
+    return share << np.maximum(8, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
 
 
-def signature(shingles: np.ndarray) -> bytes:
+def signature(shingles: np.ndarray, share: int = SLIM) -> bytes:
     """A set's bitmap: the bits that its shingles hash to."""
-    bits = int(width(len(shingles)))
+    bits = int(width(len(shingles), share))
     flat = np.zeros(bits, np.uint8)
     flat[(shingles >> np.uint64(32)) & np.uint64(bits - 1)] = 1
     return np.packbits(flat, bitorder="little").tobytes()
@@ -61,8 +68,8 @@ def signature(shingles: np.ndarray) -> bytes:
 class Signatures:
     """Signatures of many sets, each also folded to half its width, to be compared with one of that width."""
 
-    def __init__(self, n: np.ndarray, signs: list[bytes]) -> None:
-        self.n, self.width = n, width(n)
+    def __init__(self, n: np.ndarray, signs: list[bytes], share: int = SLIM) -> None:
+        self.n, self.width = n, width(n, share)
         self.at = np.zeros(len(n), np.int64)
         self.full: dict[int, np.ndarray] = {}
         self.half: dict[int, np.ndarray] = {}
@@ -95,7 +102,7 @@ def _sets(words: int):
                     sizes.append(len(s))
                     classes.append(_identity(s))
                     signs.append(signature(s))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(signs, pa.binary())], ["doc_id", "n", "cls", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(signs, pa.binary())], ["doc_id", "twin", "n", "cls", "sign"])
 
     return run
 
@@ -132,38 +139,12 @@ def _keys(words: int, percent: int, frequent: np.ndarray):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, cls), those whose key has several classes, with the smallest and the largest of these."""
-
-    def told(rows: list[np.ndarray]) -> pa.RecordBatch:
-        key, cls, n = rows
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-        key, cls, n = key[fresh], cls[fresh], n[fresh]
-        starts = np.flatnonzero(np.diff(key, prepend=~key[:1])) if len(key) else np.zeros(0, np.int64)
-        counts = np.diff(starts, append=len(key))
-        shared = np.repeat(counts > 1, counts)
-        low, high = np.repeat(cls[starts], counts), np.repeat(cls[starts + counts - 1], counts)
-        return pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (key, cls, n, low, high)], ["key", "cls", "n", "low", "high"])
-
-    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-    for batch in batches:
-        rows = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
-        if not len(rows[0]):
-            continue
-        cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
-        held = [r[cut:] for r in rows]
-        if cut:
-            yield told([r[:cut] for r in rows])
-    yield told(held)
-
-
-def _of_class(words: int):
+def _arrays(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (cls, text) whose text is of the class; rows of one id can differ."""
+        """(cls, shingles) of rows (cls, text)."""
         for batch in batches:
-            keep = [c == _identity(s) for at, texts in _texts(batch, 1) for c, s in zip(batch.column(0).slice(at, len(texts)).to_pylist(), shingle_sets(texts, words), strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            found = [s.tobytes() for _, texts in _texts(batch, 1) for s in shingle_sets(texts, words)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["cls", "shingles"])
 
     return run
 
@@ -172,72 +153,119 @@ def _alike(n_x: np.ndarray, n_y: np.ndarray, both: np.ndarray, percent: int) ->
     return 100 * both >= percent * (n_x + n_y - both)
 
 
-def _possible(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs (a, n_a, sign_a, b, n_b, sign_b) whose signatures allow enough in common."""
-        for batch in batches:
-            n_a, n_b = batch.column(1).to_numpy(), batch.column(4).to_numpy()
-            near = np.flatnonzero(100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
-            k = len(near)
-            part = batch.take(pa.array(near))
-            sets = Signatures(np.concatenate([n_a[near], n_b[near]]), part.column(2).to_pylist() + part.column(5).to_pylist())
-            x, y = np.arange(k), np.arange(k) + k
-            swap = sets.n[x] > sets.n[y]
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            keep = _alike(sets.n[x], sets.n[y], sets.most(x, y), percent) if k else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3)], ["a", "b"]).filter(pa.array(keep))
+def _band(percent: int) -> float:
+    """Logarithm of the width of a band of sizes: sets that are alike are in the same band or in neighbouring ones."""
+    return math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-12
+
+
+class Tile:
+    """Rows of a tile in the order of their groups and sizes, and the pairs of them that a link could join."""
+
+    def __init__(self, rows: pa.Table, across: bool, percent: int) -> None:
+        rows = rows.sort_by([("low", "ascending"), ("band", "ascending"), ("n", "ascending"), ("cls", "ascending")]).combine_chunks()
+        self.rows, self.across, self.percent = rows, across, percent
+        self.low, self.band, self.cls, comp, n, self.own, self.block = (rows[c].to_numpy() for c in ("low", "band", "cls", "component", "n", "own", "block"))
+        self.n = n.astype(np.int64)
+        self.components, self.label = np.unique(comp, return_inverse=True)
+        self.given = self.label.copy()
+        starts = np.flatnonzero((np.diff(self.low, prepend=~self.low[:1]) != 0) | (np.diff(self.band, prepend=~self.band[:1]) != 0))
+        self.ends = np.zeros(len(n), np.int64)
+        for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(n)], strict=True):
+            # Sizes ascend: the band of a row ends where sizes are too large for it.
+            self.ends[first:last] = first + np.searchsorted(self.n[first:last], self.n[first:last] * 100 // percent, "right")
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a group that are not in one component when it is their turn, near ones in the order of sizes first."""
+        x, step = np.arange(len(self.n)), 1
+        while len(x := x[x + step < self.ends[x]]):
+            for at in range(0, len(x), 1 << 14):
+                left = x[at : at + (1 << 14)]
+                right = left + step
+                some = (self.label[left] != self.label[right]) & (self.own[left] | self.own[right])
+                if self.across:
+                    some &= self.block[left] != self.block[right]
+                if some.any():
+                    yield left[some], right[some]
+            step += 1
+
+    def unite(self, x: int, y: int) -> None:
+        """Join the components of two rows."""
+        a, b = self.label[x], self.label[y]
+        self.label[self.label == max(a, b)] = min(a, b)
+
+
+def _sized(percent: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        """Rows of a tile that have a partner of another component which sizes and numbers of shared keys allow.
+
+        Of two sets, the one whose keys end first in the order has in common with the other only keys and what comes after its keys.
+        """
+        tile = Tile(rows, key[1].as_py() != key[2].as_py(), percent)
+        keys, rest = tile.rows["shared"].to_numpy(), (percent * tile.n + 99) // 100 - 1
+        hit = np.zeros(len(tile.n), bool)
+        for left, right in tile.pairs():
+            most = np.minimum(keys[left], keys[right]) + np.maximum(rest[left], rest[right])
+            good = _alike(tile.n[left], tile.n[right], np.minimum(most, np.minimum(tile.n[left], tile.n[right])), percent)
+            hit[left[good]] = hit[right[good]] = True
+        return tile.rows.select(["low", "band", "cls"]).filter(pa.array(hit))
 
     return run
 
 
-def _verified(words: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Exact intersections of sorted arrays."""
-        for batch in batches:
-            for at, left in _texts(batch, 2):
-                part = batch.slice(at, len(left))
-                keep = []
-                for a, b in zip(shingle_sets(left, words), shingle_sets(part.column(3).to_pylist(), words), strict=True):
-                    both = np.intersect1d(a, b, assume_unique=True).size
-                    keep.append(100 * both >= percent * (len(a) + len(b) - both))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _open(percent: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        """Rows (low, band, cls) of a tile that have a partner of another component with enough bits in common."""
+        tile = Tile(rows, key[1].as_py() != key[2].as_py(), percent)
+        sets = Signatures(tile.n, tile.rows["sign"].to_pylist())
+        hit = np.zeros(len(tile.n), bool)
+        for left, right in tile.pairs():
+            good = _alike(tile.n[left], tile.n[right], sets.most(left, right), percent)
+            hit[left[good]] = hit[right[good]] = True
+        return tile.rows.select(["low", "band", "cls"]).filter(pa.array(hit))
 
     return run
 
 
-def _tile(percent: int):
+def _links(percent: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        """Pairs of a tile that may be alike: of one key, of different components, of near sizes, and with enough bits in common."""
-        i, j = key[1].as_py(), key[2].as_py()
-        rows = rows.sort_by([("key", "ascending"), ("n", "ascending"), ("cls", "ascending")])
-        keys, cls, comp, n, block = (rows[c].to_numpy() for c in ("key", "cls", "component", "n", "block"))
-        n = n.astype(np.int64)
-        sets = Signatures(n, rows["sign"].to_pylist())
-        starts = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
-        lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        x, ends = np.arange(len(keys)), np.zeros(len(keys), np.int64)
-        for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
-            # Sizes ascend: the band of a row ends where sizes are too large for it.
-            ends[first:last] = first + np.searchsorted(n[first:last], n[first:last] * 100 // percent, "right")
-        step = 1
-        while len(x := x[x + step < ends[x]]):
-            for at in range(0, len(x), 1 << 16):
-                left = x[at : at + (1 << 16)]
-                right = left + step
-                open_ones = comp[left] != comp[right]
-                if i != j:
-                    open_ones &= block[left] != block[right]
-                left, right = left[open_ones], right[open_ones]
-                good = _alike(n[left], n[right], sets.most(left, right), percent)
-                lefts.append(left[good])
-                rights.append(right[good])
-            step += 1
-        a, b = cls[np.concatenate(lefts)], cls[np.concatenate(rights)]
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        """Of each component (a) of a tile that links have joined to a smaller one, that one (b): fewer rows than the tile has.
+
+        Bit counts bound the intersections from above; what passes is intersected exactly, unless links found before have joined it.
+        """
+        tile = Tile(rows, key[1].as_py() != key[2].as_py(), percent)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in tile.rows["shingles"]]
+        bits = Signatures(tile.n, [signature(x, WIDE) for x in sets], WIDE)
+        for left, right in tile.pairs():
+            good = _alike(tile.n[left], tile.n[right], bits.most(left, right), percent)
+            for x, y in zip(left[good].tolist(), right[good].tolist(), strict=True):
+                if tile.label[x] == tile.label[y]:
+                    continue
+                at = np.searchsorted(sets[y], sets[x])
+                both = int((sets[y][np.minimum(at, len(sets[y]) - 1)] == sets[x]).sum())
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    tile.unite(x, y)
+        joined, first = np.unique(tile.given, return_index=True)
+        joined, to = joined[moved := tile.label[first] != joined], tile.label[first]
+        return pa.table({"a": pa.array(tile.components[joined], pa.int64()), "b": pa.array(tile.components[to[moved]], pa.int64())})
 
     return run
 
 
+def _tiled(rows: DataFrame, tile_rows: int, unit: float) -> DataFrame:
+    """Rows of groups (low, band) as tiles: grp, i, j and the row's block. A set takes ``unit`` bytes for each shingle.
+
+    A group too large for one tile goes by a hash to blocks and to a tile for each two of these, in tasks of their own; small groups share tiles.
+    """
+    share = F.col("n") * unit / TILE_BYTES + F.lit(1 / tile_rows)
+    sizes = stage(rows.groupBy("low", "band").agg(F.sum(share).alias("tiles")).withColumn("blocks", F.ceil("tiles").cast("int")), "groups")
+    groups = max(1, math.ceil(sizes.agg(F.sum("tiles")).head()[0] or 0))
+    placed = rows.join(sizes.select("low", "band", "blocks"), ["low", "band"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spot = F.xxhash64("low", "band")
+    grp = F.when(F.col("blocks") == 1, F.pmod(spot, F.lit(groups))).otherwise(spot).alias("grp")
+    return placed.select(*rows.columns, "block", grp, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -251,75 +279,77 @@ def near_duplicates(
     Returns a row per document: doc_id, n_shingles, component_id (the smallest id that links reach).
 
     How: equal sets are one class, whatever their number. With shingles in one global order, two sets that are alike
-    enough share one of their first n - ceil(n * percent / 100) + 1; these are the keys. First, each class is compared
-    exactly with one or two others of its keys, the smallest and the largest class id, which unites groups of near
-    copies without pairs among them. What still shares a key across components meets in tiles: rows of a key by size, each
-    compared within its band of sizes by bitmap signatures, whose bits bound the intersection from above; the pairs that
-    pass are intersected exactly. A key of over ``tile_rows`` rows is split into tiles of two blocks. So
-    every link is found, and none is assumed.
+    enough share one of their first n - ceil(n * percent / 100) + 1; these are the keys. The classes of a key are in the group of its
+    smallest class, so a class is in a group once, however many keys lead there. First, each class meets the group in which it has most of its keys
+    (``AHEAD`` % at least), which unites near copies. Where a group still has several components, its size bands become tiles: the numbers of keys that sets share with any others, then bit counts
+    of signatures bound intersections from above, which leaves the rows worth an exact look; these get their sorted shingles and are intersected. A tile
+    returns which components links have joined to which, fewer rows than it has, and leaves out pairs that others have joined already.
+    A group of over ``tile_rows`` rows or ``TILE_BYTES`` bytes is split into tiles of two blocks. So every component is found, and no link is assumed.
 
     Scale: linear in the text and in keys (a fifth of all shingles, 64-bit hashes); frequent shingles, told by a
-    bounded sample, come last in the order, so that common passages are no keys. Texts are shuffled only to fetch those of classes that share a
-    pair that its signatures allow. Everything between is staged in the shared folder.
+    bounded sample, come last in the order, so that common passages are no keys. A hot key meets one row in its join, which adaptive execution splits.
+    Texts are shuffled only to fetch those of classes that are compared exactly, twice at most. Everything between is staged in the shared folder.
+    The tiles of a group of m open rows number (m / tile_rows)^2 / 2; rows that one link united before are not open. Classes and shingles are told by
+    64-bit hashes: among n distinct sets, n^2 / 2^65 pairs are taken for equal by chance.
 
     Null or empty texts, and those without words, have no shingles and are linked with nothing. Repeated rows are copies. A null id has a null
-    component unless a text like it has an id. An empty table gives no rows. Only the two named columns are read.
+    component unless it is linked with a row that has an id. An empty table gives no rows. Only the two named columns are read.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = stage(rows.mapInArrow(_sets(words), "doc_id long, n long, cls long, sign binary"), "sets")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("twin"))
+    sets = stage(rows.mapInArrow(_sets(words), "doc_id long, twin long, n long, cls long, sign binary"), "sets")
     share = min(1.0, ORDER_SAMPLE / max(1, sets.count()))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    picked = rows.where(F.pmod(F.xxhash64("doc_id", "twin"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
     counted = picked.select("text").mapInArrow(_sampled(words), "shingle long").groupBy("shingle").count()
     often = counted.where("count >= 8").orderBy(F.desc("count"), "shingle").limit(ORDER_SHINGLES).select("shingle")
     frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
 
-    keys = rows.select("text").mapInArrow(_keys(words, percent, frequent), "key long, cls long, n int")
-    shared = keys.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(_shared, "key long, cls long, n int, low long, high long")
-    shared = stage(shared, "shared_keys")
-    reps = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sign").alias("sign"))
-    ends = shared.groupBy("cls").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    classes = stage(reps.join(ends, "cls").where(F.col("rep").isNotNull()), "classes")
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """Of pairs (a, b) of classes those that are alike, as ids of their first documents.
-
-        Many pairs can share their b; its text is joined first, to slim rows, so that texts then travel by a.
-        """
-        both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        wanted = classes.select("cls", F.col("rep").alias("doc_id")).join(both, "cls")
-        texts = stage(rows.join(wanted, "doc_id").select("cls", "text").mapInArrow(_of_class(words), "cls long, text string"), f"{name}_texts")
-        right = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
-        each = right.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-        found = each.mapInArrow(_verified(words, percent), "a long, b long").distinct()
-        names = classes.select("cls", "rep")
-        found = found.join(names.select(F.col("cls").alias("a"), F.col("rep").alias("rep_a")), "a").join(names.select(F.col("cls").alias("b"), F.col("rep").alias("rep_b")), "b")
-        return stage(found.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), f"{name}_links")
-
-    side = lambda x: classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sign").alias(f"sign_{x}"))
-    tries = classes.select(F.col("cls").alias("a"), F.explode(F.array_distinct(F.array("low", "high"))).alias("b")).where("a <> b")
-    tries = tries.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).dropDuplicates(["x", "y"]).select("a", "b")
-    signed = tries.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "sign_a", "b", "n_b", "sign_b")
-    tries = stage(signed.mapInArrow(_possible(percent), "a long, b long"), "first_pairs")
-    first = linked(tries, "first")
-
-    part = components(first).withColumnRenamed("id", "rep")
-    of_class = stage(classes.join(part, "rep", "left").select("cls", "sign", F.coalesce("component", "rep").alias("component")), "class_components")
-    open_keys = shared.select("key", "cls").join(of_class.select("cls", "component"), "cls")
-    crossed = open_keys.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).where("x <> y")
-    crossed = stage(crossed.select("key", F.ceil(F.col("rows") / tile_rows).cast("int").alias("blocks"), "rows"), "open_keys")
-    groups = max(1, (crossed.agg(F.sum("rows")).head()[0] or 0) // tile_rows)
-    tiles = shared.select("key", "cls", "n").join(crossed.select("key", "blocks"), "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.col("key")).alias("grp")
-    tiles = tiles.select("key", "cls", "n", "block", group, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    near = tiles.join(of_class, "cls").groupBy("grp", "i", "j").applyInArrow(_tile(percent), "a long, b long").distinct()
-    tried = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = linked(stage(near.join(tried, ["a", "b"], "left_anti"), "second_pairs"), "second")
-
-    part = components(first.unionByName(second)).withColumnRenamed("id", "rep")
-    of_rep = reps.select("cls", "rep").join(part, "rep", "left").select("cls", F.coalesce("component", "rep").alias("component_id"))
-    found = sets.select("doc_id", "n", "cls").join(of_rep, "cls", "left")
+    keys = stage(rows.select("text").mapInArrow(_keys(words, percent, frequent), "key long, cls long, n int"), "keys")
+    shared = keys.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
+    shared = stage(shared.select("key", "low"), "shared_keys")
+    members = stage(keys.join(shared, "key").groupBy("low", "cls").agg(F.count("*").alias("keys"), F.first("n").alias("n")), "members")
+    one = sets.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "twin")).alias("at"), F.min("doc_id").alias("rep"), F.first("sign").alias("sign"))
+    classes = stage(one.join(members.select("cls").distinct(), "cls", "left_semi"), "classes")
+
+    def linked(tiles: DataFrame, name: str) -> DataFrame:
+        """Joined components (a, b) of tiles; the texts of their classes are fetched by their first documents."""
+        wanted = stage(classes.join(tiles.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("at.doc_id").alias("id"), F.col("at.twin").alias("of")), f"{name}_classes")
+        texts = rows.join(wanted, (F.coalesce("doc_id", F.lit(0)) == F.coalesce("id", F.lit(0))) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("of")))
+        arrays = stage(texts.select("cls", "text").mapInArrow(_arrays(words), "cls long, shingles binary"), f"{name}_shingles")
+        return stage(tiles.join(arrays, "cls").groupBy("grp", "i", "j").applyInArrow(_links(percent), "a long, b long"), f"{name}_links")
+
+    first = members.where("cls <> low").groupBy("cls").agg(F.max_by("low", F.struct("keys", "low")).alias("low"), F.max("keys").alias("keys"), F.first("n").alias("n"))
+    first = first.where(F.col("keys") * 10_000 >= F.col("n") * ((100 - percent) * AHEAD)).select("low", "cls", "n")
+    lows = first.groupBy("low").agg(F.ceil(F.sum(F.col("n") * 8 / TILE_BYTES + F.lit(1 / tile_rows))).cast("int").alias("blocks"))
+    lows = stage(lows, "first_groups")
+    head = members.where("cls = low").join(lows, "low").select("low", "cls", "n", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("band"))
+    first = first.join(lows, "low").select("low", "cls", "n", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("band")).unionByName(head)
+    first = first.withColumns({"component": F.col("cls"), "own": F.lit(True)})
+    first = linked(stage(_tiled(first, 2 * tile_rows, 4.0), "first_tiles"), "first")
+
+    part = components(first).withColumnRenamed("id", "cls")
+    totals = members.groupBy("cls").agg(F.sum("keys").alias("shared"))
+    of_class = stage(totals.join(part, "cls", "left").select("cls", "shared", F.coalesce("component", "cls").alias("component")), "class_components")
+    size = F.floor(F.log("n") / _band(percent)).cast("long")
+    placed = members.join(of_class, "cls").withColumn("size", size).withColumn("band", F.explode(F.array(F.col("size"), F.col("size") + 1)))
+    placed = placed.select("low", "band", "cls", "n", "component", "shared", (F.col("size") == F.col("band")).alias("own"))
+    crossed = placed.groupBy("low", "band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("own").alias("own")).where("own and x <> y")
+    placed = stage(placed.join(stage(crossed.select("low", "band"), "crossed"), ["low", "band"]), "open_rows")
+    triple = "low long, band long, cls long"
+    sized = stage(_tiled(placed, tile_rows, 0.0).groupBy("grp", "i", "j").applyInArrow(_sized(percent), triple), "sized_rows").distinct()
+    placed = stage(placed.join(sized, ["low", "band", "cls"]), "sized_tiles")
+    signed = _tiled(placed, tile_rows, 0.5).join(classes.select("cls", "sign"), "cls")
+    near = stage(signed.groupBy("grp", "i", "j").applyInArrow(_open(percent), triple), "near_rows").distinct()
+    near = stage(placed.join(near, ["low", "band", "cls"]), "near_tiles")
+    second = linked(stage(_tiled(near, tile_rows, 8.0), "second_tiles"), "second")
+
+    joined = components(second).select(F.col("id").alias("component"), F.col("component").alias("further"))
+    part = of_class.join(joined, "component", "left").select("cls", F.coalesce("further", "component").alias("component"))
+    reps = stage(sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), "representatives")
+    least = stage(part.join(reps, "cls").groupBy("component").agg(F.min("rep").alias("least")), "least_ids")
+    of_part = part.join(least, "component").select("cls", "least")
+    ids = stage(reps.join(of_part, "cls", "left").select("cls", F.coalesce("least", "rep").alias("component_id")), "component_ids")
+    found = sets.select("doc_id", "n", "cls").join(ids, "cls", "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
