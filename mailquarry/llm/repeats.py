@@ -85,36 +85,8 @@ def _anchored(length: int, anchor: int):
     return run
 
 
-#: What is known of an occurrence: its context is repeated; it waits for the suffix array; it is repeated and the array needs it to compare with.
-REPEATED, OPEN, MODEL = 0, 1, 2
-
-
-def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, context): (h, doc, pos, times, state) of those whose anchor occurs more than once."""
-
-    def told(rows: list[np.ndarray]) -> pa.RecordBatch:
-        h, context, doc, pos, times = rows
-        new_h = np.diff(h, prepend=~h[:1]) != 0
-        new_context = new_h | (np.diff(context, prepend=~context[:1]) != 0)
-        of_h, of_context = np.cumsum(new_h) - 1, np.cumsum(new_context) - 1
-        weight = np.bincount(of_context, times)[of_context] if len(h) else np.zeros(0)
-        several = (np.bincount(of_h, new_context)[of_h] > 1) if len(h) else np.zeros(0, bool)
-        waits = (np.bincount(of_h, weight < 2)[of_h] > 0) if len(h) else np.zeros(0, bool)
-        state = np.where(weight < 2, OPEN, np.where(several & waits & new_context, MODEL, REPEATED)).astype(np.int8)
-        keep = (weight >= 2) | several
-        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, doc, pos, times, state)], ["h", "doc", "pos", "times", "state"])
-
-    kinds = (np.int64, np.int64, np.int64, np.int32, np.int8)
-    held = [np.zeros(0, k) for k in kinds]
-    for batch in batches:
-        rows = [np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate(held)]
-        if not len(rows[0]):
-            continue
-        cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last anchor may go on
-        held = [r[cut:] for r in rows]
-        if cut:
-            yield told([r[:cut] for r in rows])
-    yield told(held)
+#: What the suffix array has to do with a context: decide about its strings, or only compare others with it, as it is repeated as a whole.
+OPEN, MODEL = 1, 2
 
 
 def _cut_out(length: int, anchor: int):
@@ -138,7 +110,7 @@ def _sorted_shard(length: int, anchor: int):
     span = length - anchor
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        """Strings (doc, first, last) of open contexts that the shard's suffix array finds elsewhere in it.
+        """Spans (doc, first, last) of strings of open contexts that the shard's suffix array finds elsewhere in it.
 
         Each context is its left bytes, one symbol for its anchor, and its right bytes; a string of ``length`` bytes is a window of span + 1 symbols
         there, and it is repeated if it shares them with its neighbour in the array.
@@ -161,8 +133,14 @@ def _sorted_shard(length: int, anchor: int):
         ahead = n_left[owner] - (at - starts[owner])  # bytes before the anchor
         inside = ahead + n_right[owner] >= span  # else the window runs into the next context
         good = (ahead >= 0) & inside & (state[owner] == OPEN)
-        first = pos[owner[good]].astype(np.int64) - ahead[good]
-        return pa.table({"doc": pa.array(doc[owner[good]], pa.int64()), "first": pa.array(first.astype(np.int32)), "last": pa.array((first + length).astype(np.int32))})
+        at, owner = at[good], owner[good]
+        first = pos[owner].astype(np.int64) - ahead[good]
+        # Strings that start one after the other in a context are one span.
+        fresh = np.diff(at, prepend=-2) != 1
+        fresh[1:] |= owner[1:] != owner[:-1]
+        begins = np.flatnonzero(fresh)
+        ends = np.append(begins[1:], len(at)) - 1 if len(at) else begins
+        return pa.table({"doc": pa.array(doc[owner[begins]], pa.int64()), "first": pa.array(first[begins].astype(np.int32)), "last": pa.array((first[ends] + length).astype(np.int32))})
 
     return run
 
@@ -252,13 +230,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("doc", F.xxhash64("doc_id", "text"))
     names = stage(rows.select("doc", F.md5("text").alias("digest")), "digests")
-    copies = names.groupBy("digest").agg(F.count("*").alias("n"), F.first("doc").alias("doc")).where("n > 1").select("digest")
-    copied = names.join(copies, "digest", "left_semi").select("doc").distinct()
-
-    found = rows.select("doc", "text").mapInArrow(_anchored(length, anchor), "h long, context long, doc long, pos int, times byte")
-    known = found.repartition("h").sortWithinPartitions("h", "context").mapInArrow(_decided, "h long, doc long, pos int, times byte, state byte")
-    known = stage(known, "anchors")
-    waiting = known.where(F.col("state") != REPEATED)
+    copies = stage(names.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "copies")
+    copied = names.join(copies, "digest").select("doc").distinct()
+
+    # Right sides of joins with hot anchors are staged and have one row per key, which leaves Spark free to split the left sides.
+    found = stage(rows.select("doc", "text").mapInArrow(_anchored(length, anchor), "h long, context long, doc long, pos int, times byte"), "occurrences")
+    again = found.groupBy("h").agg(F.sum("times").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).where("n > 1")
+    again = stage(again.select("h", (F.col("low") != F.col("high")).alias("several")), "anchors")
+    known = stage(found.join(again, "h"), "known")
+    several = known.where("several")
+    contexts = stage(several.groupBy("h", "context").agg(F.sum("times").alias("n"), F.min(F.struct("doc", "pos")).alias("at")), "contexts")
+    alone, repeated = contexts.where("n < 2"), contexts.where("n > 1")
+    models = repeated.join(stage(alone.select("h").distinct(), "open_anchors"), "h")
+    waiting = alone.withColumn("state", F.lit(OPEN)).unionByName(models.withColumn("state", F.lit(MODEL)))
+    waiting = stage(waiting.select("h", "at.doc", "at.pos", F.col("state").cast("byte").alias("state")), "waiting")
+    whole = known.where("not several").unionByName(several.join(repeated.select("h", "context"), ["h", "context"]))
     hot = stage(waiting.groupBy("h").agg(F.count("*").alias("contexts")).where(F.col("contexts") > shard_contexts), "hot_anchors")
     n_hot = hot.agg(F.sum("contexts")).head()[0] or 0
 
@@ -275,7 +261,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if n_hot:
         spans = spans.unionByName(_hot_strings(cut_out(waiting.join(hot, "h", "left_semi")), length, anchor))
     spans = stage(spans, "strings").groupBy("doc").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
-    places = known.where(F.col("state") != OPEN).groupBy("doc").agg((F.max("times") > 1).alias("loops"), F.collect_list("pos").alias("places"))
+    places = whole.groupBy("doc").agg((F.max("times") > 1).alias("loops"), F.collect_list("pos").alias("places"))
     facts = copied.withColumn("copied", F.lit(True)).join(places, "doc", "full").join(spans, "doc", "full")
     facts = stage(facts, "facts")
     joined = rows.join(facts, "doc", "left").select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), F.coalesce("loops", F.lit(False)).alias("loops"), "places", "firsts", "lasts")
