@@ -164,10 +164,11 @@ def near_duplicates(
     one edge per linked vector, never pairs.
 
     Null, zero or non-finite vectors have no links and are their own component, as have vectors whose
-    length no other shares. Ids must be distinct. An empty table gives no rows.
+    length no other shares. A row without id takes no part: no links, null component, not kept. Rows of one id are vectors of their
+    own, which are counted each and share the id's name. An empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(F.col(vec_col), lambda x: x.cast("double") + 0.0).alias("v"))
-    rows = rows.withColumn("ok", usable(F.col("v")) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
+    rows = rows.withColumn("ok", F.col("vec_id").isNotNull() & usable(F.col("v")) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
     good = rows.where("ok").select("vec_id", "v")
     member = stage(good.select("vec_id", F.sha2(F.array_join(F.transform("v", lambda x: x.cast("string")), ","), 256).alias("same"), "v"), "vectors")
     classes = stage(member.groupBy("same").agg(F.min("vec_id").alias("cls"), F.count("*").alias("n"), F.first("v").alias("v")), "classes")
@@ -195,7 +196,7 @@ def near_duplicates(
     grown = grown.select("same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "cls").alias("component_id"))
     linked_rows = member.select("vec_id", "same").join(grown, "same").select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked_rows.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked_rows.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 TOP = 10
@@ -285,23 +286,27 @@ def top_products(
     A component x counts as floor(scale * x). Queries are the rows for which ``queries`` holds (by default, ids
     divisible by 100), candidates all other rows of the same length; ties go to the smaller id. Vectors that are null,
     or hold null or non-finite components, take no part; empty vectors have none to multiply and take
-    none either. Ids must be distinct. An empty table gives no rows.
+    none either, nor do rows without id. Rows of one id count as one vector, the least of them. An empty table gives no rows.
 
-    Scale: vectors are grouped by norm, and by blocks within a norm; queries are in blocks too. A first pass over the longest
-    vectors gives each query a product that its answers must reach; then each pair of blocks is a task
-    of its own that prunes by it and returns at most ``top`` rows per query.
+    Scale: vectors are grouped by norm, and by blocks within a norm; queries are in blocks too. A first pass over one block of each of the
+    highest norm buckets, as many as have ``row_block`` vectors together, gives each query a product that its answers must reach;
+    then each other pair of blocks is a task of its own that prunes by it and returns at most ``top`` rows per query.
     """
     given = queries if queries is not None else F.pmod(F.col(id_col), F.lit(QUERY_EVERY)) == 0
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"), F.coalesce(given, F.lit(False)).alias("asks")).where(usable(F.col("v")))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"), F.coalesce(given, F.lit(False)).alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("double")))
+    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks"))
     rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).withColumn("dim", F.size("v"))
     rows = stage(rows.withColumn("band", F.when(F.col("norm") > 0, F.floor(F.log("norm") / math.log(NORM_STEP))).otherwise(-1).cast("int")), "whole_vectors")
-    bands = rows.groupBy("dim", "band").agg(F.ceil(F.count("*") / row_block).cast("int").alias("blocks"))
+    bands = rows.groupBy("dim", "band").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / row_block).cast("int").alias("blocks"))
+    higher = Window.partitionBy("dim").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("leads", F.coalesce(F.sum("rows").over(higher), F.lit(0)) < row_block).drop("rows")
     asking = rows.where("asks").groupBy("dim").agg(F.ceil(F.count("*") / query_block).cast("int").alias("q_blocks"))
     plan = stage(bands.join(asking, "dim"), "blocks")
     block = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block")
     blocked = rows.join(plan, ["dim", "band"]).select("vec_id", "v", "norm", "dim", "band", block, F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"))
-    tiles = plan.select("dim", "band", "q_blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    tiles = plan.select("dim", "band", "leads", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    tiles = tiles.select("dim", "band", "block", (F.col("leads") & (F.col("block") == 0)).alias("leads"))
     asked = rows.where("asks").join(asking, "dim").select("vec_id", "v", "norm", "dim", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("q_blocks")).cast("int").alias("q_block"))
     asked = stage(asked, "queries")
     schema = "query_id long, vec_id long, score long"
@@ -311,11 +316,14 @@ def top_products(
         spread = q.join(where.select("dim", "band", "block"), "dim").select("vec_id", "v", "norm", "theta", *grid)
         return spread.groupBy(*grid).cogroup(candidates.groupBy(*grid)).applyInArrow(_best(top), schema)
 
-    longest = plan.groupBy("dim").agg(F.max("band").alias("band")).withColumn("block", F.lit(0))
-    first = matched(asked.withColumn("theta", F.lit(None).cast("double")), longest, blocked.join(longest, ["dim", "band", "block"], "left_semi"))
-    reach = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("theta")).where(F.col("n") >= top)
-    known = asked.join(reach.select(F.col("query_id").alias("vec_id"), "theta"), "vec_id", "left")
-    found = matched(known, tiles, blocked)
+    leading, others = tiles.where("leads"), tiles.where("not leads")
+    grid_of = ["dim", "band", "block"]
+    first = matched(asked.withColumn("theta", F.lit(None).cast("double")), leading, blocked.join(leading, grid_of, "left_semi"))
+    first = stage(first, "first_products")
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"))))
+    reach = ranked.where(F.col("rank") == top).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("theta"))
+    known = asked.join(reach, "vec_id", "left")
+    found = first.unionByName(matched(known, others, blocked.join(others, grid_of, "left_semi")))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
