@@ -109,13 +109,14 @@ def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_TRAINING_ROWS) -> np.ndarray:
     """Weights learned from at most ``max_rows`` labelled documents that are not held out.
 
-    Documents that have both labels are left out. The sample's ids are bounded by max_rows, so they are
+    Documents that have both labels are left out; of rows of one id the least text is learned. The sample's ids are bounded by max_rows, so they are
     broadcast; its vectors are made where the documents lie, and one task runs the updates over them.
     """
     usable = labels.where(~held_out(F.col(id_col)) & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
     usable = usable.groupBy(F.col(id_col).alias("doc_id")).agg(F.min(label_col).alias("label"), F.max(label_col).alias("most")).where("label = most")
     sample = usable.select("doc_id", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(max_rows)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "h", "label").agg(F.min("text").alias("text"))
     vectors = rows.select("h", "text", "label").mapInArrow(_vectors, "h long, label int, buckets binary, amounts binary")
     return np.frombuffer(vectors.repartition(1).mapInArrow(_trained, "weights binary").head()[0], "<f4")
 
