@@ -21,7 +21,7 @@ GROUP_PIECES = 6000
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bins and offsets of items placed one by one by the sum-of-squares rule.
 
-    With N(g) open bins of residual gap g, an item goes into the open bin, of those that it fits, that makes
+    With N(g) open bins of residual gap g (above 0), an item goes into the open bin, of those that it fits, that makes
     the sum of N(g)^2 over all gaps smallest; ties go to the tightest fit. All lengths are known
     ahead, so the items come longest first, and a new bin is opened only if none fits.
     """
@@ -33,10 +33,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     for i in np.argsort(-lengths, kind="stable"):
         n = int(lengths[i])
         taken = counts[n:capacity]  # by the gap left after it
-        # Growth of the sum, less 1 and halved: N(left) + 1 - N(left + n); a full bin counts no more.
-        growth = np.where(taken > 0, counts[: capacity - n] + 1 - taken, never)
+        # Growth of the sum: 2 (N(left) - N(gap)) + 2; full bins count no more, so there 1 - 2 N(gap).
+        growth = np.where(taken > 0, 2 * (counts[: capacity - n] - taken) + 2, never)
         if n < capacity and taken[0]:
-            growth[0] = -taken[0]
+            growth[0] = 1 - 2 * taken[0]
         left = int(np.argmin(growth)) if n < capacity else 0
         if n < capacity and growth[left] < never:
             bins[i] = stacks[left + n].pop()
