@@ -10,11 +10,13 @@ import numpy as np
 
 #: White space to one of Python's and the tokenizers' regex engines but not the other: such texts go whole to the library.
 _ODD = re.compile("[\x01\x1c-\x1f\x85᠎​﻿]")
-#: White space that is not a single space or line break between words.
-_UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z")
+#: White space other than a space or a line break.
+_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 #: Pieces that a worker's cache holds: words alone, and words with the white space before them.
-_CACHE_PIECES = {False: 500_000, True: 1_000_000}
+_CACHE_PIECES = {False: 800_000, True: 1_000_000}
+#: Characters that they hold in all, and of one piece that is to stay.
+_CACHE_CHARS, _LASTING_CHARS = 40_000_000, 200
 _AT_ONCE = 2_000
 #: The characters that stand for bytes in byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 and up.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -25,7 +27,10 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 def _spaced(text: str) -> list[str]:
     """The pieces of a text, each with the white space before it, as keys: a word stands for the word after a
     space, a line break and a word for themselves, and any other piece for what follows its \\x01."""
-    if not _UNEVEN.search(text):
+    if not text:
+        return []
+    even = text[:1] not in " \n" and text[-1] not in " \n" and not any(x in text for x in ("  ", " \n", "\n ", "\n\n")) and not _OTHER_SPACE.search(text)
+    if even:
         keys = text.replace("\n", " \n").split(" ")
         keys[0] = "\x01" + keys[0]
         return keys
@@ -33,12 +38,26 @@ def _spaced(text: str) -> list[str]:
     return [p[1:] if p[0] == " " and not p[1:2].isspace() and len(p) > 1 else p if p[0] == "\n" and not p[1:2].isspace() and len(p) > 1 else "\x01" + p for p in pieces]
 
 
+class _Known(dict):
+    """Numbers of pieces; an unknown one gets the next number and is noted as fresh."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.fresh.append(piece)
+        return number
+
+
 class Encoder:
     """Ids of texts, equal to the library's ``encode(text, add_special_tokens=False)``.
 
     A byte pair never joins text across the border between a run of non-space characters and the
     white space after it, so a text's ids are those of its pieces in a row. Natural text repeats its
-    words, so most pieces come from the cache, and a text's ids are gathered by numpy.
+    words, so most pieces come from the cache, and the ids of many texts are gathered by numpy at once.
+    Marks of special tokens in a text are ordinary text.
 
     keep_space: pieces keep the white space before them (vocabularies in which it is text).
     """
@@ -53,6 +72,7 @@ class Encoder:
         self.mark = "\n" if keep_space else " \x01 "
         self.mark_ids = self._encode(self.mark)
         self.keep_space, self.model, self.short = keep_space, self.tokenizer.model, {}
+        self.space = _BYTE_CHARS[32] if keep_space else ""
         for x in ".,\n":
             self.short[x] = self._encode(x).tolist()
         self._clear()
@@ -61,29 +81,32 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
+        self.chars = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
-        self.uses = np.zeros(1 << 14, np.int32)  # texts that had the piece
-        self.used = 0
+        self.uses = np.zeros(1 << 14, np.int32)  # calls that had the piece
+        self.n = self.used = 0
 
     def _forget(self) -> None:
-        """Drop the pieces of few texts, so that at most half of the cache stays."""
-        n = len(self.known)
+        """Drop the pieces of few calls, so that at most half of the cache stays."""
+        n = self.n
         uses, starts, lengths, ids = self.uses[:n], self.starts[:n], self.lengths[:n], self.ids
-        least = max(2, int(np.partition(uses, n // 2)[n // 2]) + 1)
-        stay = np.flatnonzero(uses >= least)
+        least = max(2, int(np.partition(uses, n // 2)[n // 2]) + 1) if n else 2
         pieces = list(self.known)
-        kept = [pieces[i] for i in stay.tolist()]
+        stay = np.array([i for i in np.flatnonzero(uses >= least).tolist() if len(pieces[i]) <= _LASTING_CHARS], np.int64)
         self._clear()
+        for i in stay.tolist():
+            self.known[pieces[i]]
         total = lengths[stay]
         ends = np.cumsum(total)
-        self._add(kept, ids[np.repeat(starts[stay] - ends + total, total) + np.arange(ends[-1] if len(ends) else 0)], total)
-        self.uses[: len(kept)] = uses[stay] // 2
+        self._add(ids[np.repeat(starts[stay] - ends + total, total) + np.arange(ends[-1] if len(ends) else 0)], total)
+        self.uses[: len(stay)] = uses[stay] // 2
 
-    def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, m = len(self.known), len(self.known) + len(pieces)
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of all fresh pieces, in a row."""
+        n, m = self.n, self.n + len(lengths)
         while m > len(self.starts):
             self.starts, self.lengths, self.uses = (np.resize(x, 2 * len(x)) for x in (self.starts, self.lengths, self.uses))
         while self.used + len(ids) > len(self.ids):
@@ -93,7 +116,9 @@ class Encoder:
         self.uses[n:m] = 0
         self.starts[n:m] = self.used + np.cumsum(lengths) - lengths
         self.used += len(ids)
-        self.known.update(zip(pieces, range(n, m), strict=True))
+        self.n = m
+        self.chars += sum(map(len, self.known.fresh))
+        self.known.fresh.clear()
 
     def _letters(self, key: str) -> list[int] | None:
         """The ids of a word of Latin-1 letters, maybe after a line break or with a comma or full stop: the library's model alone, as the steps before it leave such a word whole."""
@@ -105,47 +130,53 @@ class Encoder:
         word = word if self.keep_space else word.lower()
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        space = _BYTE_CHARS[32] if self.keep_space and not head else ""
+        space = self.space if not head else ""
         return head + [t.id for t in self.model.tokenize(space + word)] + tail
 
-    def _learn(self, new: set[str]) -> None:
-        found = {x: ids for x in new if (ids := self._letters(x)) is not None}
-        if found:
-            self._add(list(found), np.fromiter(itertools.chain.from_iterable(found.values()), np.uint32), np.fromiter(map(len, found.values()), np.int64, len(found)))
-            new = new.difference(found)
-        plain = [x for x in new if x[0] not in "\x01\n"]
-        alone = list(new.difference(plain))
+    def _learn(self) -> None:
+        """The ids of the fresh pieces."""
+        new, tokenize, space, lower = self.known.fresh, self.model.tokenize, self.space, not self.keep_space
+        rows: list[list[int] | np.ndarray | None] = []
+        for x in new:
+            if x.isascii() and x.isalpha():
+                rows.append([t.id for t in tokenize(space + (x.lower() if lower else x))])
+            else:
+                rows.append(self._letters(x) if x else None)
+        rest = [i for i, x in enumerate(rows) if x is None]
+        plain = [i for i in rest if new[i][:1] not in ("", "\x01", "\n")]
+        alone = [i for i in rest if new[i][:1] in ("", "\x01", "\n")]
         for at in range(0, len(plain), _AT_ONCE):
             part = plain[at : at + _AT_ONCE]
-            ids = self._encode(self.mark.join([" " + x for x in part] if self.keep_space else part))
+            ids = self._encode(self.mark.join([" " + new[i] if self.keep_space else new[i] for i in part]))
             marks = np.flatnonzero(ids == self.mark_ids[0])
             if len(self.mark_ids) == 1 and len(marks) == len(part) - 1:
-                self._add(part, np.delete(ids, marks), np.diff(marks, prepend=-1, append=len(ids)) - 1)
+                for i, found in zip(part, np.split(ids, marks), strict=True):
+                    rows[i] = found if i == part[0] else found[1:]
             else:
                 alone += part
-        for x in alone:
-            text = x.removeprefix("\x01") if x[0] in "\x01\n" or not self.keep_space else " " + x
-            self._add([x], ids := self._encode(text), np.array([len(ids)]))
+        for i in alone:
+            x = new[i]
+            rows[i] = self._encode(x.removeprefix("\x01") if x[:1] in ("\x01", "\n") or not self.keep_space else " " + x)
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        self._add(np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths)
 
     def __call__(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """The ids of each text (null: none) as uint32."""
-        split = [None if t and _ODD.search(t) else self.split(t or "") for t in texts]
-        words = set().union(*(x for x in split if x))
-        if new := words.difference(self.known):
-            if len(self.known) + len(new) > _CACHE_PIECES[self.keep_space] and self.known:
-                self._forget()
-                new = words.difference(self.known)
-            self._learn(new)
-        return [self._encode(t) if x is None else self._gather(x) for t, x in zip(texts, split, strict=True)]
-
-    def _gather(self, pieces: list[str]) -> np.ndarray:
-        if not pieces:
-            return np.zeros(0, np.uint32)
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        texts = [t or "" for t in texts]
+        if self.n > _CACHE_PIECES[self.keep_space] or self.chars > _CACHE_CHARS:
+            self._forget()
+        odd = [_ODD.search(t) is not None for t in texts]
+        split = [[] if o else self.split(t) for t, o in zip(texts, odd, strict=True)]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if self.known.fresh:
+            self._learn()
         self.uses[at] += 1
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
-        return self.ids[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1])]
+        ids = self.ids[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        borders = np.concatenate([np.zeros(1, np.int64), ends])[np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])]
+        return [self._encode(t) if o else ids[borders[k] : borders[k + 1]] for k, (t, o) in enumerate(zip(texts, odd, strict=True))]
 
 
 def encoder(path: str, keep_space: bool) -> Encoder:
@@ -153,3 +184,10 @@ def encoder(path: str, keep_space: bool) -> Encoder:
     if (path, keep_space) not in _encoders:
         _encoders[path, keep_space] = Encoder(path, keep_space)
     return _encoders[path, keep_space]
+
+
+def largest_id(path: str) -> int:
+    """The largest id of a vocabulary file."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
