@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from mailquarry.llm._runtime import stage
-from mailquarry.llm._tokens import encoder
+from mailquarry.llm._tokens import encoder, largest_id
 
 #: Ids after which a block is closed. A document lies in one block.
 BLOCK_IDS = 65_536
@@ -27,7 +27,9 @@ def bits_for(vocabulary: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
-    """Ids as ``bits`` bits each, lowest bit first, padded to a whole byte."""
+    """Ids as ``bits`` bits each, lowest bit first, padded to a whole byte. An id that needs more bits is an error."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {ids.max()} needs more than {bits} bits")
     if bits == 16:
         return ids.astype("<u2").tobytes()
     planes = (ids[:, None].astype(np.uint32) >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
@@ -76,7 +78,7 @@ def write_ids(
     docs: DataFrame,
     path: str,
     tokenizer: str,
-    vocabulary: int = 50_257,
+    vocabulary: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = 0,
@@ -88,17 +90,21 @@ def write_ids(
     Spark commits whole files only. ``payload`` holds the ids at the fixed width ``bits`` of the
     vocabulary, lowest bit first; ``doc_ids`` and ``ends`` say which documents lie in it and where each ends,
     which makes each block readable by itself: document j has bits ``ends[j-1] * bits`` to
-    ``ends[j] * bits``. ``shard`` and ``block`` give the order.
+    ``ends[j] * bits``. ``shard`` and ``block`` give the order. ``vocabulary`` is one more than the largest id; if not
+    given, the tokenizer tells.
 
     Scale: one range shuffle of (id, text); each range is one shard, encoded in a stream that holds one
-    block. Null ids come first; rows of equal ids are ordered by text. A null text is empty.
+    block. Null ids come first; rows of equal ids are ordered by a hash of their text, so they too can go to several ranges. A null text is empty.
     """
+    if vocabulary is None:
+        vocabulary = largest_id(tokenizer) + 1
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumn("twin", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("doc_id", "twin").sortWithinPartitions("doc_id", "twin", "text").select("doc_id", "text")
     form = FORMAT.format(id=kind)
     schema = to_arrow_schema(StructType.fromDDL(form))
-    ordered.mapInArrow(_blocks(tokenizer, end_id, bits_for(vocabulary), block_ids, schema), form).write.parquet(path)
+    ordered.mapInArrow(_blocks(tokenizer, end_id, bits_for(max(vocabulary, end_id + 1)), block_ids, schema), form).write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
