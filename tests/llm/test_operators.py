@@ -109,6 +109,46 @@ def test_packing(docs, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_sum_of_squares_follows_the_rule():
+    """Every placement against a plain definition: of the open bins that fit, the one after which the squares sum to least; ties to the tightest."""
+    for seed, most in ((0, 30), (1, 100), (2, 60)):
+        lengths = np.random.default_rng(seed).integers(1, most, 200)
+        bins, _ = packing.sum_of_squares(lengths, 100)
+        gaps: list[int] = []
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            n = int(lengths[i])
+            fits = sorted({g for g in gaps if g >= n})
+            if not fits:
+                assert bins[i] == len(gaps)
+                gaps.append(100 - n)
+                continue
+
+            def squares(g, n=n):
+                after = Counter(gaps)
+                after[g] -= 1
+                after[g - n] += 1
+                return sum(k * k for x, k in after.items() if x)
+
+            best = min(fits, key=lambda g: (squares(g), g))
+            assert gaps[bins[i]] == best
+            gaps[bins[i]] -= n
+    bins, _ = packing.sum_of_squares(np.array([70, 70, 60, 60, 60, 30]), 100)
+    assert bins[5] in bins[2:5]
+
+
+def test_whole_table_has_the_library_s_ids(spark, sf_dir):
+    tokenizers = pytest.importorskip("tokenizers")
+    for name, keep_space in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = tokenizer(name)
+        library, texts = tokenizers.Tokenizer.from_file(path), [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+        assert [x.tolist() for x in Encoder(path, keep_space)(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_beyond_the_width_are_refused():
+    with pytest.raises(ValueError):
+        binary.pack_bits(np.array([1, 70_000], np.uint32), 16)
+
+
 def test_sum_of_squares_is_near_the_bound():
     lengths = np.random.default_rng(0).integers(1, 400, 3000)
     bins, offsets = packing.sum_of_squares(lengths, 1000)
@@ -256,7 +296,7 @@ def test_large_components_multiply_exactly(spark):
 # --- near duplicates and repeats
 
 
-def test_jaccard_join(docs, empty):
+def test_jaccard_join(docs, empty, monkeypatch):
     rows = rows_of(docs)
     sets = [H.shingles(t) for _, t in rows]
     linked = [[i != j and bool(a and b) and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
@@ -267,6 +307,8 @@ def test_jaccard_join(docs, empty):
             ids[label[i]].append(key)
     want = Counter((key, len(sets[i]), min(ids[label[i]], default=None)) for i, (key, _) in enumerate(rows))
     for tile_rows in (4096, 2):
+        if tile_rows == 2:
+            monkeypatch.setattr(jaccard, "BROADCAST_CLASSES", 0)
         got = jaccard.near_duplicates(docs, tile_rows=tile_rows).collect()
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
     assert jaccard.near_duplicates(empty).count() == 0
@@ -398,9 +440,86 @@ def test_fixed_patterns(text, spans):
 
 
 def test_random_field_generalises():
-    field = pii.train(pii.training_table())
+    field = pii.train(pii.training_rows())
     table = pii.training_table(seed=99)
     right = sum([pii.LABELS[x] for x in got] == want for got, (_, want) in zip(field.decode([w for w, _ in table]), table, strict=True))
     assert right >= 0.95 * len(table)
     text = 'pay 2531585014589253 with token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" in 2024, version 2.0'
     assert [k for k, _, _ in pii.added_spans(field, [text], [pii.base_spans(text)])[0]] == ["account", "secret"]
+
+
+def test_field_on_sentences_held_out():
+    """F1 of whole spans on labelled sentences that were not trained on."""
+    field, rows = pii.train(pii.training_rows()), pii.sentences()[-pii.HELD :]
+
+    def spans(labels):
+        ends = [*labels, "O"]
+        return {(x[2:], i, next(j for j in range(i + 1, len(ends)) if ends[j][0] != "I")) for i, x in enumerate(labels) if x[0] == "B"}
+
+    right = wrong = 0
+    for labels, (_, want) in zip(field.decode([w for w, _ in rows]), rows, strict=True):
+        got, gold = spans([pii.LABELS[k] for k in labels]), spans(want)
+        right, wrong = right + len(got & gold), wrong + len(got ^ gold)
+    assert 2 * right / (2 * right + wrong) >= 0.75
+
+
+def test_lines_left_closed_hold_no_span(spark, sf_dir):
+    """Every line decoded word by word gives labels only where open_lines says so."""
+    field = pii.train(pii.training_rows())
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()][:150] + ["", "\n\n", "a\nkey = \"9f86d081884c7d659a2feaa0c55ad015\"\n"]
+    for text, numbers in zip(texts, field.open_lines(texts), strict=True):
+        lines = text.split("\n")
+        labels = field.decode([pii._WORD.findall(x) for x in lines])
+        assert {i for i, x in enumerate(labels) if x.any()} <= set(numbers)
+
+
+def test_base_patterns_on_a_whole_table(spark, sf_dir):
+    """The contract's patterns by plain regular expressions, over all documents."""
+    import re
+
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+
+    def good(kind, x):
+        digits = re.sub("[^0-9]", "", x)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in x.split("."))
+        return kind == "email" or (13 <= len(digits) <= 19 and pii.luhn(digits) if kind == "card" else 9 <= len(digits) <= 15)
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        spans = [(k, m.start(), m.end()) for k, p in plain.items() for m in re.finditer(p, r.text or "") if good(k, m[0])]
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        assert (got[r.doc_id].n_email, got[r.doc_id].n_ip) == tuple(sum(s[0] == k for s in spans) for k in ("email", "ip"))
+        assert got[r.doc_id].n_spans == len([x for x in got[r.doc_id].spans.split(",") if x])
+
+
+def test_vectors_without_id_or_of_one_id(spark):
+    rows = [(None, [1.0, 0.0]), (0, [1.0, 0.1]), (0, [1.0, 0.1]), (1, [1.0, 0.0]), (None, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    near = embeddings.near_duplicates(df).collect()
+    assert sorted((r.n_links, r.kept) for r in near if r.vec_id is None) == [(0, False), (0, False)]
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in near if r.vec_id is not None) == [(0, 2, 0), (0, 2, 0), (1, 2, 0)]
+    assert [tuple(r) for r in embeddings.top_products(df).select("query_id", "rank", "vec_id").collect()] == [(0, 1, 1)]
+
+
+def test_ftrl_is_the_plain_update():
+    """Weights after each row's update, by the textbook formulas on a dictionary."""
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(50, 6, replace=False)).astype(np.int32), rng.random(6), int(rng.integers(0, 2))) for _ in range(40)]
+    z, n, alpha, beta, l1, l2 = defaultdict(float), defaultdict(float), 0.5, 1.0, 0.02, 0.1
+    weight = lambda i: 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+    for _ in range(2):
+        for buckets, values, label in rows:
+            x = {**dict(zip(buckets.tolist(), values.tolist(), strict=True)), 1 << quality.BITS: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w[i]
+                n[i] += g * g
+    got = quality.ftrl(rows, epochs=2)
+    assert np.allclose([got[i] for i in range(50)] + [got[-1]], [weight(i) for i in range(50)] + [weight(1 << quality.BITS)])
