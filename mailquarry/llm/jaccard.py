@@ -25,6 +25,8 @@ TILE_ROWS = 4096
 TILE_BYTES = 32_000_000
 #: Share of a set's keys, in percent, that it must have in common with its first partner to be compared ahead of all others. It decides the order of work only.
 AHEAD = 40
+#: Classes whose ids are broadcast to fetch their texts, at most (24 bytes each); more are joined by a shuffle of the texts.
+BROADCAST_CLASSES = 500_000
 #: Bits of a signature for each shingle, at least: of those that are shuffled, and of those made where the shingles are.
 SLIM, WIDE = 2, 8
 _AT_ONCE = 256
@@ -288,7 +290,7 @@ def near_duplicates(
 
     Scale: linear in the text and in keys (a fifth of all shingles, 64-bit hashes); frequent shingles, told by a
     bounded sample, come last in the order, so that common passages are no keys. A hot key meets one row in its join, which adaptive execution splits.
-    Texts are shuffled only to fetch those of classes that are compared exactly, twice at most. Everything between is staged in the shared folder.
+    Texts are shuffled only to fetch those of classes that are compared exactly, twice at most, and not at all where these are ``BROADCAST_CLASSES`` or fewer. Everything between is staged in the shared folder.
     The tiles of a group of m open rows number (m / tile_rows)^2 / 2; rows that one link united before are not open. Classes and shingles are told by
     64-bit hashes: among n distinct sets, n^2 / 2^65 pairs are taken for equal by chance.
 
@@ -315,6 +317,7 @@ def near_duplicates(
     def linked(tiles: DataFrame, name: str) -> DataFrame:
         """Joined components (a, b) of tiles; the texts of their classes are fetched by their first documents."""
         wanted = stage(classes.join(tiles.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("at.doc_id").alias("id"), F.col("at.twin").alias("of")), f"{name}_classes")
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_CLASSES else wanted
         texts = rows.join(wanted, (F.coalesce("doc_id", F.lit(0)) == F.coalesce("id", F.lit(0))) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("of")))
         arrays = stage(texts.select("cls", "text").mapInArrow(_arrays(words), "cls long, shingles binary"), f"{name}_shingles")
         return stage(tiles.join(arrays, "cls").groupBy("grp", "i", "j").applyInArrow(_links(percent), "a long, b long"), f"{name}_links")
