@@ -22,10 +22,11 @@ def manifest(mails: DataFrame, prefix: str = PREFIX) -> DataFrame:
 
 
 def directory_writer(root: str) -> Callable[[str, bytes], None]:
-    """Writes under a directory that all executors share."""
+    """Writes under a directory that all executors share. A name that stands for a directory becomes underscores."""
 
     def write(key: str, data: bytes) -> None:
-        target = Path(root) / key
+        folder, _, name = key.rpartition("/")
+        target = Path(root) / folder / ("_" * max(1, len(name)) if name in ("", ".", "..") else name)
         target.parent.mkdir(parents=True, exist_ok=True)
         target.write_bytes(data)
 

@@ -21,12 +21,18 @@ def start_share(seed: int) -> float:
 def contiguous(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows that follow each other in the order of ``key``, from a seeded random start; all rows if there are no more.
 
-    Ranks are taken over the key alone, so other columns are read for the sample only.
+    Rows of equal key follow each other in the order of a hash of their columns; rows without key are left out. Ranks are taken over the key
+    alone, so other columns are read for the sample only.
     """
+    df = df.where(F.col(key).isNotNull())
     total = df.count()
     if n >= total:
         return df
     start = int(start_share(seed) * (total - n + 1))
     span = df.select(key).orderBy(key).offset(start).limit(n)
     ends = span.agg(F.min(key).alias("first"), F.max(key).alias("last")).head()
-    return df.where(F.col(key).between(ends["first"], ends["last"]))
+    found = df.where(F.col(key).between(ends["first"], ends["last"]))
+    if found.count() == n:
+        return found
+    before = df.where(F.col(key) < F.lit(ends["first"])).count()
+    return found.orderBy(key, F.xxhash64(*df.columns)).offset(start - before).limit(n)

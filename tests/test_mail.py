@@ -168,3 +168,21 @@ def test_classifier_learns_saves_and_loads(spark, tmp_path):
     classifier.save(model, str(tmp_path), "u1")
     assert classifier.load(str(tmp_path), "u1").transform(df).where("prediction = label").count() == 90
     assert classifier.metrics(df.withColumn("prediction", F.lit(0))).head().precision == 0.0
+
+
+def test_contiguous_sample_of_ties_and_nulls(spark):
+    from mailquarry.operators.sample import contiguous
+
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([1, 2, 2, 2, 3, None])], "k int, i int")
+    for seed in range(6):
+        got = [r.k for r in contiguous(df, "k", 2, seed).collect()]
+        assert sorted(got) in ([1, 2], [2, 2], [2, 3])
+
+
+def test_attachment_names_that_are_directories(tmp_path):
+    from mailquarry.operators.attachments import directory_writer
+
+    write = directory_writer(str(tmp_path))
+    for name in ("a.txt", "..", "."):
+        write(f"pre/mail/{name}", b"x")
+    assert sorted(p.name for p in (tmp_path / "pre/mail").iterdir()) == ["_", "__", "a.txt"]
