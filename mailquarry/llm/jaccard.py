@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailquarry.llm._graph import components
@@ -109,15 +109,19 @@ def _sets(words: int):
     return run
 
 
+def among(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which shingles are frequent ones."""
+    if not len(frequent):
+        return np.zeros(len(shingles), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
+
+
 def prefix(shingles: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """The first shingles of a set, frequent ones last, of which sets that are alike enough share at least one."""
     n = len(shingles)
     keep = n - (percent * n + 99) // 100 + 1
-    if len(frequent) and n:
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        often = frequent[at] == shingles
-        shingles = np.concatenate([shingles[~often], shingles[often]])
-    return shingles[:keep]
+    often = among(shingles, frequent)
+    return np.concatenate([shingles[~often], shingles[often]])[:keep]
 
 
 def _keys(words: int, percent: int, frequent: np.ndarray):
@@ -136,7 +140,9 @@ def _keys(words: int, percent: int, frequent: np.ndarray):
                     seen.clear()
                 each = [k for _, k in classes]
                 cls = np.repeat(np.array([c for c, _ in classes], np.int64), each)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(cls), pa.array(np.repeat(np.array(sizes, np.int32), each), pa.int32())], ["key", "cls", "n"])
+                flat = np.concatenate(keys)
+                columns = [pa.array(flat.view(np.int64)), pa.array(cls), pa.array(np.repeat(np.array(sizes, np.int32), each), pa.int32()), pa.array(among(flat, frequent))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "cls", "n", "often"])
 
     return run
 
@@ -289,7 +295,8 @@ def near_duplicates(
     A group of over ``tile_rows`` rows or ``TILE_BYTES`` bytes is split into tiles of two blocks. So every component is found, and no link is assumed.
 
     Scale: linear in the text and in keys (a fifth of all shingles, 64-bit hashes); frequent shingles, told by a
-    bounded sample, come last in the order, so that common passages are no keys. A hot key meets one row in its join, which adaptive execution splits.
+    bounded sample, come last in the order, so that common passages are no keys. A frequent shingle that is a key meets one broadcast row (``ORDER_SHINGLES`` at most),
+    so hot keys stay where they are; all other keys are shuffled once, and windows, which spill, find their smallest classes.
     Texts are shuffled only to fetch those of classes that are compared exactly, twice at most, and not at all where these are ``BROADCAST_CLASSES`` or fewer. Everything between is staged in the shared folder.
     The tiles of a group of m open rows number (m / tile_rows)^2 / 2; rows that one link united before are not open. Classes and shingles are told by
     64-bit hashes: among n distinct sets, n^2 / 2^65 pairs are taken for equal by chance.
@@ -307,10 +314,14 @@ def near_duplicates(
     often = counted.where("count >= 8").orderBy(F.desc("count"), "shingle").limit(ORDER_SHINGLES).select("shingle")
     frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
 
-    keys = stage(rows.select("text").mapInArrow(_keys(words, percent, frequent), "key long, cls long, n int"), "keys")
-    shared = keys.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
-    shared = stage(shared.select("key", "low"), "shared_keys")
-    members = stage(keys.join(shared, "key").groupBy("low", "cls").agg(F.count("*").alias("keys"), F.first("n").alias("n")), "members")
+    keys = stage(rows.select("text").mapInArrow(_keys(words, percent, frequent), "key long, cls long, n int, often boolean"), "keys")
+    of_key = Window.partitionBy("key")
+    rare = keys.where("not often").withColumns({"low": F.min("cls").over(of_key), "high": F.max("cls").over(of_key)}).where("low <> high")
+    common = keys.where("often")
+    lowest = common.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("key", "low")
+    common = common.join(F.broadcast(lowest), "key")  # ORDER_SHINGLES rows at most
+    led = rare.select("low", "cls", "n").unionByName(common.select("low", "cls", "n"))
+    members = stage(led.groupBy("low", "cls").agg(F.count("*").alias("keys"), F.first("n").alias("n")), "members")
     one = sets.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "twin")).alias("at"), F.min("doc_id").alias("rep"), F.first("sign").alias("sign"))
     classes = stage(one.join(members.select("cls").distinct(), "cls", "left_semi"), "classes")
 
