@@ -32,6 +32,25 @@ SELECT doc_id AS email_id, CASE doc_id % 4
   WHEN 2 THEN concat('A: 1', chr(10), chr(10), text, chr(13), chr(10), chr(13), chr(10), 'tail')
   ELSE concat('A: ', doc_id) END AS raw
 FROM {docs}"""
+#: Mails of seven kinds with what their parsing gives: plain, html, both, nested with a file, base64, undeclared charset with an unnamed inline part and a file, latin-1.
+MIME = """
+WITH texts AS (SELECT doc_id, doc_id % 7 AS kind, coalesce(text, '') AS t, concat(chr(13), chr(10)) AS nl FROM {docs}),
+pages AS (SELECT *, concat('<html><head><style>p</style></head><body><p>', replace(replace(t, '<', ''), '&', ''), '</p>&amp; more</body></html>') AS h,
+  concat('From: a', doc_id, '@example.com', nl, 'Subject: Mail ', doc_id, nl, 'MIME-Version: 1.0', nl, 'Content-Type: ') AS top FROM texts)
+SELECT concat('mail_', doc_id, '.eml') AS og_fname, kind, t, h,
+  CASE WHEN kind IN (0, 2, 4, 5) THEN t WHEN kind = 6 THEN concat('Caf', chr(233), ' = ', doc_id) ELSE '' END AS plain,
+  CASE WHEN kind IN (1, 2, 3) THEN h ELSE '' END AS html,
+  CASE kind
+    WHEN 0 THEN concat(top, 'text/plain; charset=utf-8', nl, 'Content-Transfer-Encoding: 8bit', nl, nl, t)
+    WHEN 1 THEN concat(top, 'text/html; charset=utf-8', nl, nl, h)
+    WHEN 2 THEN concat(top, 'multipart/alternative; boundary=zz_alt', nl, nl, '--zz_alt', nl, 'Content-Type: text/plain; charset=utf-8', nl, nl, t, nl, '--zz_alt', nl, 'Content-Type: text/html; charset=utf-8', nl, nl, h, nl, '--zz_alt--', nl)
+    WHEN 3 THEN concat(top, 'multipart/mixed; boundary=zz_mix', nl, nl, '--zz_mix', nl, 'Content-Type: multipart/alternative; boundary=zz_alt', nl, nl, '--zz_alt', nl, 'Content-Type: text/html; charset=utf-8', nl, nl, h, nl, '--zz_alt--', nl,
+      '--zz_mix', nl, 'Content-Type: application/pdf', nl, 'Content-Disposition: attachment; filename="a/b:c.pdf"', nl, 'Content-Transfer-Encoding: base64', nl, nl, @b64@, nl, '--zz_mix--', nl)
+    WHEN 4 THEN concat(top, 'text/plain; charset=utf-8', nl, 'Content-Transfer-Encoding: base64', nl, nl, @b64@)
+    WHEN 5 THEN concat(top, 'multipart/mixed; boundary=zz_mix', nl, nl, '--zz_mix', nl, 'Content-Type: text/plain; charset=DEFAULT', nl, 'Content-Transfer-Encoding: 8bit', nl, nl, t, nl, '--zz_mix', nl, 'Content-Type: image/png', nl, 'Content-Disposition: inline', nl,
+      'Content-Transfer-Encoding: base64', nl, nl, 'cG5n', nl, '--zz_mix', nl, 'Content-Type: text/plain', nl, 'Content-Disposition: attachment; filename=note.txt', nl, nl, 'note', nl, '--zz_mix--', nl)
+    ELSE concat(top, 'text/plain; charset=iso-8859-1', nl, 'Content-Transfer-Encoding: quoted-printable', nl, nl, 'Caf=E9 =3D ', doc_id) END AS raw
+FROM pages"""
 NAMED = """
 SELECT conv_id, turn, text,
        CASE conv_id % 5 WHEN 0 THEN concat('report:', turn, '.pdf') WHEN 1 THEN concat('a/b', chr(92), 'c*?"<>|.txt') WHEN 2 THEN '' WHEN 3 THEN NULL ELSE 'plain.txt' END AS filename,
@@ -168,6 +187,22 @@ SELECT email_id, key, CAST(n_bytes AS BIGINT) AS n_bytes, hash, count(*) OVER (P
         raw = F.concat_ws("", F.regexp_replace(F.coalesce("raw_headers", F.lit("")), "(?i)content-(type|transfer-encoding):[^\r]*", "X-Was: y"), F.lit("\r\n\r\n"), "body")
         return parse_mails(mails.select(F.concat(F.lit("/mails/"), "og_fname").alias("path"), raw.cast("binary").alias("content"))).drop("attachments")
 
+    @register("eml_mime", f"""
+WITH mails AS ({MIME.replace('@b64@', 'to_base64(encode(t))').format(docs='documents')}), ids AS (SELECT *, sha256(concat('/mails/', og_fname, raw)) AS id FROM mails)
+SELECT concat_ws('-', substr(id, 1, 8), substr(id, 9, 4), substr(id, 13, 4), substr(id, 17, 4), substr(id, 21, 12)) AS email_id, og_fname,
+  concat('From,Subject,MIME-Version,Content-Type', CASE WHEN kind IN (0, 4, 6) THEN ',Content-Transfer-Encoding' ELSE '' END) AS header_list,
+  CASE WHEN plain <> '' THEN {strip_sql('plain')} ELSE {html_sql('html')} END AS body,
+  CASE kind WHEN 3 THEN 'a_b_c.pdf' WHEN 5 THEN 'unnamed_attachment.png,note.txt' ELSE '' END AS names,
+  CASE kind WHEN 3 THEN sha256(t) WHEN 5 THEN concat(sha256('png'), ',', sha256('note')) ELSE '' END AS hashes,
+  CASE kind WHEN 3 THEN to_base64(encode(t)) WHEN 5 THEN 'cG5n,bm90ZQ==' ELSE '' END AS contents,
+  CASE kind WHEN 3 THEN 'application/pdf' WHEN 5 THEN 'image/png,text/plain' ELSE '' END AS kinds, label, _parse_error
+FROM (SELECT *, 'ham' AS label, CAST(NULL AS VARCHAR) AS _parse_error FROM ids)""")
+    def eml_mime(spark, sf_dir):
+        mails = spark.sql(MIME.replace("@b64@", "translate(base64(encode(t, 'UTF-8')), concat(chr(13), chr(10)), '')"), docs=table(spark, sf_dir, "documents"))
+        parsed = parse_mails(mails.select(F.concat(F.lit("/mails/"), "og_fname").alias("path"), F.col("raw").cast("binary").alias("content")), label="ham")
+        listed = [F.array_join(F.col(f"attachments.{field}"), ",").alias(name) for field, name in (("filename", "names"), ("hash", "hashes"), ("data_base64", "contents"), ("content_type", "kinds"))]
+        return parsed.select("email_id", "og_fname", "header_list", "body", *listed, "label", "_parse_error")
+
     @register("url_ngrams", _url_grams + " SELECT page_id, pos, gram FROM listed")
     def url_ngrams(spark, sf_dir):
         return _urls(spark, sf_dir).select("page_id", F.posexplode("grams").alias("pos", "gram")).withColumn("pos", F.col("pos").cast("long"))
