@@ -42,6 +42,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for k in range(len(taken) + 1) if (n := "_" * k + name) not in taken) for name in names]
+
+
 def release(spark: SparkSession) -> None:
     """Delete all tables that this session has staged; results that still read them end with it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/mailquarry-{spark.sparkContext.applicationId}")

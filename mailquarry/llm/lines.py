@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailquarry.llm._runtime import stage
+from mailquarry.llm._runtime import spare, stage
 
 #: Leading tokens on a path of the tree, below the token count.
 LEADING = 3
@@ -114,18 +114,19 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     and hot templates only meet tables with one row per template.
 
     Null text: stays null, with 0 lines. Empty or blank lines are never dropped. Repeated rows are one document here, all treated alike.
-    Null ids are kept. Columns named n_lines or n_dropped are replaced. An empty table gives no rows.
+    Null ids are kept. Columns named n_lines or n_dropped are replaced, others of any name kept. An empty table gives no rows.
     """
     drops = recurring(docs, id_col, text_col, min_docs, leading, min_kept, long_tokens)
-    drops = stage(drops.groupBy(F.col("doc_id").alias("drop_id"), F.col("twin").alias("drop_twin")).agg(F.collect_set("pos").alias("drop_pos")), "drops")
-    joined = docs.join(drops, F.col(id_col).eqNullSafe(F.col("drop_id")) & (F.xxhash64(text_col) == F.col("drop_twin")), "left")
+    of_id, of_twin, at = spare(docs, "drop_id", "drop_twin", "drop_pos")
+    drops = stage(drops.groupBy(F.col("doc_id").alias(of_id), F.col("twin").alias(of_twin)).agg(F.collect_set("pos").alias(at)), "drops")
+    joined = docs.join(drops, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(text_col) == F.col(of_twin)), "left")
     lines = F.split(F.col(text_col), "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("drop_pos", i)), "\n")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(at, i)), "\n")
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    n_dropped = F.coalesce(F.size("drop_pos"), F.lit(0)).cast("long")
-    text = F.when(F.col("drop_pos").isNull(), F.col(text_col)).otherwise(left)
+    n_dropped = F.coalesce(F.size(at), F.lit(0)).cast("long")
+    text = F.when(F.col(at).isNull(), F.col(text_col)).otherwise(left)
     values = {"n_lines": n_lines, "n_dropped": n_dropped, text_col: text}
-    return joined.withColumns(values).drop("drop_id", "drop_twin", "drop_pos")
+    return joined.withColumns(values).drop(of_id, of_twin, at)
 
 
 #: What is left of each document, in DuckDB.

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailquarry.llm._runtime import stage
+from mailquarry.llm._runtime import spare, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -121,13 +121,15 @@ def mixed_documents(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id",
     """``docs`` with every row as often as its mix ``copies`` takes it; documents without words stay once.
 
     Rows of one id and source are told apart by number, so each of them gets the copies of one. Texts are shuffled once.
+    Columns of any name are kept.
     """
+    of_id, of_source, of_row, times, row, copy = spare(docs, "mix_id", "mix_source", "mix_row", "mix_times", "doc_row", "mix_copy")
     took = (F.col("taken") > 0) | ((F.col("size") == 0) & (F.col("epoch") == 0))
-    times = copies.where(took).groupBy("row_id").agg(F.first("doc_id").alias("mix_id"), F.first("source").alias("mix_source"), F.count("*").cast("int").alias("mix_times"))
-    times = times.withColumn("mix_row", F.row_number().over(Window.partitionBy("mix_id", "mix_source").orderBy(F.desc("mix_times"), "row_id"))).drop("row_id")
-    numbered = docs.withColumn("doc_row", F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.lit(0))))
-    same = F.col(id_col).eqNullSafe(F.col("mix_id")) & F.col(source_col).eqNullSafe(F.col("mix_source")) & (F.col("doc_row") == F.col("mix_row"))
-    repeated = numbered.join(times, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
+    wanted = copies.where(took).groupBy("row_id").agg(F.first("doc_id").alias(of_id), F.first("source").alias(of_source), F.count("*").cast("int").alias(times))
+    wanted = wanted.withColumn(of_row, F.row_number().over(Window.partitionBy(of_id, of_source).orderBy(F.desc(times), "row_id"))).drop("row_id")
+    numbered = docs.withColumn(row, F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.lit(0))))
+    same = F.col(id_col).eqNullSafe(F.col(of_id)) & F.col(source_col).eqNullSafe(F.col(of_source)) & (F.col(row) == F.col(of_row))
+    repeated = numbered.join(wanted, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*docs.columns)
 
 

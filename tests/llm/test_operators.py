@@ -69,6 +69,10 @@ def test_mixed_documents_repeat(docs):
     got = mixing.mixed_documents(docs, copies)
     words = lambda df: df.agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD)))).head()[0]
     assert got.columns == docs.columns and words(got) == copies.agg(F.sum("taken")).head()[0]
+    names = ["doc_row", "mix_id", "MIX_ROW", "_mix_row", "mix_times", "mix_copy", "mix_source"]
+    clashing = mixing.mixed_documents(docs.withColumns({n: F.lit("own") for n in names}), copies)
+    assert sorted(map(repr, clashing.select("doc_id", "text").collect())) == sorted(map(repr, got.select("doc_id", "text").collect()))
+    assert {tuple(r) for r in clashing.select(*names).distinct().collect()} == {("own",) * len(names)}
 
 
 # --- tokens
@@ -191,6 +195,10 @@ def test_line_dedup(docs, empty):
     assert kept[0] == "" and sum("Line of order" in t for t in kept) == 1 and "Line of order 17 shipped\n" + H.sentence(6, 9) in kept
     assert (4, None) in left and (6, " \n\t ") in left and (None, None) in left
     assert lines.dedup(empty).count() == 0
+    names = ["drop_id", "drop_twin", "Drop_Pos", "n_lines"]
+    clashing = lines.dedup(docs.withColumns({n: F.lit("own") for n in names}), min_docs=3)
+    assert {(r.doc_id, r.text) for r in clashing.collect()} == left
+    assert {tuple(r) for r in clashing.select(*names[:3]).distinct().collect()} == {("own",) * 3}
 
 
 def test_line_templates_need_alike_lines(spark):
