@@ -129,16 +129,21 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     return joined.withColumns(values).drop(of_id, of_twin, at)
 
 
-#: What is left of each document, in DuckDB.
+#: What is left of each document, with long lines dropped too, in DuckDB.
 SQL = r"""
-WITH base AS (SELECT doc_id, text, row_number() OVER () AS row_id FROM documents),
+WITH base AS (SELECT doc_id, text, dense_rank() OVER (ORDER BY doc_id, text) AS row_id FROM documents),
 split AS (
-  SELECT row_id, doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM base WHERE text IS NOT NULL),
+  SELECT row_id, doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line
+  FROM (SELECT DISTINCT * FROM base WHERE text IS NOT NULL)),
 lines AS (
   SELECT * FROM (
-    SELECT row_id, doc_id, pos, list_transform(list_filter(string_split(line, ' '), lambda x: x <> ''),
-                                               lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
-    FROM split) WHERE len(tokens) > 0),
+    SELECT row_id, doc_id, pos, given, list_transform(given, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS tokens
+    FROM (SELECT row_id, doc_id, pos, list_filter(string_split(line, ' '), lambda x: x <> '') AS given FROM split)) WHERE len(tokens) > 0),
+long_lines AS (
+  SELECT row_id, doc_id, pos, CASE WHEN given = tokens OR len(list_filter(tokens, lambda x: x <> '<*>')) * 100 >= len(tokens) * 70 THEN tokens ELSE given END AS long_key
+  FROM lines WHERE len(tokens) > 20),
+long_common AS (
+  SELECT long_key, min({'d': doc_id, 'r': row_id, 'p': pos}) AS first FROM long_lines GROUP BY long_key HAVING count(DISTINCT row_id) >= 2),
 leaved AS (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM lines),
 leaves AS (SELECT n, lead FROM leaved GROUP BY n, lead HAVING count(DISTINCT row_id) >= 5),
 held AS (SELECT leaved.* FROM leaved JOIN leaves USING (n, lead)),
@@ -154,7 +159,8 @@ placed AS (SELECT row_id, doc_id, pos, template FROM held JOIN templates USING (
 common AS (
   SELECT template, min({'d': doc_id, 'r': row_id, 'p': pos}) AS first FROM placed GROUP BY template HAVING count(DISTINCT row_id) >= 5),
 drops AS (
-  SELECT row_id, pos FROM placed JOIN common USING (template) WHERE {'d': doc_id, 'r': row_id, 'p': pos} <> first),
+  SELECT row_id, pos FROM placed JOIN common USING (template) WHERE {'d': doc_id, 'r': row_id, 'p': pos} <> first
+  UNION SELECT row_id, pos FROM long_lines JOIN long_common USING (long_key) WHERE {'d': doc_id, 'r': row_id, 'p': pos} <> first),
 kept AS (
   SELECT s.row_id, string_agg(line, chr(10) ORDER BY s.pos) AS text FROM split s ANTI JOIN drops d ON s.row_id = d.row_id AND s.pos = d.pos GROUP BY s.row_id),
 dropped AS (SELECT row_id, count(*) AS n_dropped FROM drops GROUP BY row_id)

@@ -37,7 +37,7 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = lines.dedup(documents(spark, sf_dir))
+    left = lines.dedup(documents(spark, sf_dir), long_tokens=lines.LONG_TOKENS)
     return left.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,20 @@ def test_line_dedup_takes_long_lines_of_few_documents(spark, sf_dir):
     assert got[3] == "\n".join([parts[0][2], parts[0][4]])
 
 
+def test_line_templates_as_in_sql(spark, tmp_path):
+    """Repeated rows are one document, long lines take two documents and short ones five, alike in SQL."""
+    long = H.sentence(50, 60)
+    rows = [(k, f"order {k} of us shipped today\n{H.sentence(90 + k, 8)}\n{long} page {k}\n{long} page {k}") for k in range(2, 7)]
+    rows += [*rows[:2], (8, "a line of two documents"), (9, "a line of two documents"), (None, None), *enumerate(H.texts(), 20)]
+    docs = H.documents(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.op3_line_templates(spark, str(tmp_path)).collect()
+    assert Counter(map(tuple, got)) == Counter(con.execute(queries.ORACLE_SQL["op3_line_templates"]).fetchall())
+    assert sum(r.n_dropped for r in got) > 10
+
+
 @pytest.mark.parametrize("rows", [None, []])
 def test_stages_take_awkward_tables(spark, sf_dir, rows):
     """Nulls, repeated rows, clashing columns; and no row at all."""
