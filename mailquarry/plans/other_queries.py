@@ -111,7 +111,7 @@ def register_all(register) -> None:
 SELECT * EXCLUDE (row_no, total) FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS row_no, count(*) OVER () AS total FROM documents)
 WHERE row_no - CAST(floor({sample.start_share(SAMPLE_SEED)!r} * (total - {SAMPLE_ROWS} + 1)) AS BIGINT) BETWEEN 0 AND {SAMPLE_ROWS - 1}""")
     def contiguous_sample(spark, sf_dir):
-        return sample.contiguous(table(spark, sf_dir, "documents"), "doc_id", SAMPLE_ROWS, SAMPLE_SEED)
+        return sample.contiguous(table(spark, sf_dir, "documents"), "doc_id", SAMPLE_ROWS, SAMPLE_SEED, scratch.folder(spark, "sample"))
 
     @register("profile_value_counts", _counts_sql("events", {"event_type": "event_type", "user_id": "CAST(user_id AS VARCHAR)"}))
     def profile_value_counts(spark, sf_dir):

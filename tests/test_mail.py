@@ -153,13 +153,6 @@ def test_profile_and_conversion(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "csv"), ["nope"])
 
 
-def test_contiguous_sample(spark):
-    df = spark.range(100)
-    got = sorted(r.id for r in sample.contiguous(df, "id", 7, 3).collect())
-    assert len(got) == 7 and got == list(range(got[0], got[0] + 7))
-    assert sample.contiguous(df, "id", 100, 3).count() == 100
-
-
 def test_classifier_learns_saves_and_loads(spark, tmp_path):
     rows = [(f"http://{'bad-bets' if i % 3 == 0 else 'fine-news'}{i}.example.com/p", int(i % 3 == 0)) for i in range(90)]
     df = classifier.with_grams(spark.createDataFrame(rows, "url string, label int")).withColumn("test", classifier.is_test(F.col("url")))
@@ -170,15 +163,6 @@ def test_classifier_learns_saves_and_loads(spark, tmp_path):
     assert classifier.metrics(df.withColumn("prediction", F.lit(0))).head().precision == 0.0
 
 
-def test_contiguous_sample_of_ties_and_nulls(spark):
-    from mailquarry.operators.sample import contiguous
-
-    df = spark.createDataFrame([(k, i) for i, k in enumerate([1, 2, 2, 2, 3, None])], "k int, i int")
-    for seed in range(6):
-        got = [r.k for r in contiguous(df, "k", 2, seed).collect()]
-        assert sorted(got) in ([1, 2], [2, 2], [2, 3])
-
-
 def test_attachment_names_that_are_directories(tmp_path):
     from mailquarry.operators.attachments import directory_writer
 
