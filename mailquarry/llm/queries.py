@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, pii, quality, repeats
+from mailquarry.llm import binary, embeddings, fill_middle, jaccard, lines, mixing, packing, pii, quality, repeats
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -75,6 +75,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pack_sequences": op2_pack_sequences,
@@ -86,10 +90,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
     "op10_personal_data": op10_personal_data,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
     "op3_line_templates": lines.SQL,
     "op9_top_products": embeddings.TOP_SQL,
+    "op13_fill_in_middle": fill_middle.SQL,
 }

@@ -13,7 +13,19 @@ from mailquarry.llm import jaccard, queries
 from tests.llm import helpers as H
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+#: Their results hold whole numbers that may be null, which pandas turns into fractions.
+NULLABLE = ("op12_importance_resampling", "op13_fill_in_middle")
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(queries.ORACLE_SQL) if n in NULLABLE])
+def test_same_tuples(name, spark, duck, sf_dir):
+    ours, theirs = queries.QUERIES[name](spark, sf_dir), duck.execute(queries.ORACLE_SQL[name])
+    names = [c[0] for c in theirs.description]
+    assert sorted(ours.columns) == sorted(names)
+    assert Counter(map(tuple, ours.select(*names).collect())) == Counter(theirs.fetchall())
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(queries.ORACLE_SQL) if n not in NULLABLE])
 def test_same_rows(name, same_as_duck):
     same_as_duck(queries.QUERIES[name], queries.ORACLE_SQL[name])
 
