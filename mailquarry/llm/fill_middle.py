@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -163,18 +164,20 @@ def fill_in_middle(
     """
     if unit not in ("char", "line", "word"):
         raise ValueError(f"no such unit: {unit}")
+    if text_col in ("n", "form", "prefix_chars", "middle_chars", "output"):
+        raise ValueError(f"the text may not stand in {text_col}, which is replaced")
     if len({*marks}) != 3 or not all(marks) or any(a != b and a in b for a in marks for b in marks):
         raise ValueError("three marks are needed, none part of another")
     names = ["n", "form", "prefix_chars", "middle_chars", "output"]
     kept = [c for c in docs.columns if c not in names]
-    text, first, second, form = spare(docs.select(*kept), "fim_text", "fim_first", "fim_second", "fim_form")
+    first, second, form = spare(docs, "fim_first", "fim_second", "fim_form")
     numbers = [draw(F.col(id_col), seed, k) for k in range(4)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(text_col), F.lit("")).alias(text), numbers[0].alias(first), numbers[1].alias(second), form_of(F.col(text_col), numbers[2], numbers[3], plain_percent, spm_percent, marks).alias(form))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], numbers[0].alias(first), numbers[1].alias(second), form_of(F.col(text_col), numbers[2], numbers[3], plain_percent, spm_percent, marks).alias(form))
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(c, T.StringType() if c in ("form", "output") else T.LongType()) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, forms = pc.cast(batch.column(text), pa.large_string()), batch.column(form)
+            texts, forms = pc.cast(pc.fill_null(batch.column(text_col), ""), pa.large_string()), batch.column(form)
             open_rows = pc.not_equal(forms, "plain")
             draws = tuple(pc.filter(batch.column(c), open_rows).to_numpy() for c in (first, second))
             pieces, units, _, _ = cut(pc.filter(texts, open_rows), draws, unit, chunk)
@@ -193,13 +196,10 @@ def fill_in_middle(
 
 def restored(output: Column, form: Column, marks: Sequence[str] = MARKS) -> Column:
     """The text that an output was made of, from output and form alone."""
-    p, s, m = map(F.lit, marks)
-    psm, spm = form == "psm", form == "spm"
-    opening, closing = F.when(psm, p).otherwise(s), F.when(psm, s).otherwise(p)
-    body = F.substring(output, F.length(opening) + 1, F.length(output))
-    left, rest = F.split_part(body, closing, F.lit(1)), F.split_part(body, closing, F.lit(2))
-    right, middle = F.split_part(rest, m, F.lit(1)), F.split_part(rest, m, F.lit(2))
-    return F.when(psm, F.concat(left, middle, right)).when(spm, F.concat(right, middle, left)).otherwise(output)
+    parted = F.array(F.split(output, "|".join(map(re.escape, marks)), -1))  # once, although its items are used again and again
+    psm = F.get(F.transform(parted, lambda x: F.concat(x[1], x[3], x[2])), 0)
+    spm = F.get(F.transform(parted, lambda x: F.concat(x[2], x[3], x[1])), 0)
+    return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(output)
 
 
 def digests(done: DataFrame, id_col: str = "doc_id", marks: Sequence[str] = MARKS) -> DataFrame:
