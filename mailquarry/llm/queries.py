@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, fill_middle, jaccard, lines, mixing, packing, pii, quality, repeats
+from mailquarry.llm import binary, embeddings, fill_middle, jaccard, lines, mixing, packing, pii, quality, repeats, resampling
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -75,6 +75,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(documents(spark, sf_dir).select("doc_id", "text")).drop("text"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
     "op10_personal_data": op10_personal_data,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -97,5 +103,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mixing.SQL,
     "op3_line_templates": lines.SQL,
     "op9_top_products": embeddings.TOP_SQL,
+    "op12_importance_resampling": resampling.SQL,
     "op13_fill_in_middle": fill_middle.SQL,
 }
