@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 
@@ -49,18 +50,35 @@ def chunks(texts: list[str | None]) -> Iterator[list[bytes]]:
         yield part
 
 
-def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all lower-cased (A-Z) words, and the number of words of each text."""
+class Runs(NamedTuple):
+    """All texts' bytes in one array, a line break after each; where runs start and end there; their hashes; the number of runs of each text; hashes of the runs' heads."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    counts: np.ndarray
+    heads: list[np.ndarray]
+
+
+def run_hashes(raws: list[bytes], letters: np.ndarray, heads: Sequence[int] = ()) -> Runs:
+    """Runs of ``letters`` in many texts at once, A-Z hashed in lower case. heads: so many first bytes are hashed too, each number apart; of shorter runs they mean nothing."""
     data = np.frombuffer(b"\n".join([*raws, b""]), np.uint8)
     lengths = np.fromiter(map(len, raws), np.int64, len(raws)) + 1
-    space = SPACES[data]
-    edges = np.flatnonzero(np.diff(space, prepend=True))
+    edges = np.flatnonzero(np.diff(letters[data], prepend=False))
     starts, ends = edges[::2], edges[1::2]
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     h = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
-    return h, np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0)
+    of_heads = [mixed((sums[np.minimum(starts + k, len(data))] - sums[starts]) * down[starts] + np.uint64(1_000_003 * k)) for k in heads]
+    return Runs(data, starts, ends, h, np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0), of_heads)
+
+
+def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all lower-cased (A-Z) words, and the number of words of each text."""
+    found = run_hashes(raws, ~SPACES)
+    return found.hashes, found.counts
 
 
 def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, fill_middle, jaccard, lines, mixing, packing, pii, quality, repeats, resampling
+from mailquarry.llm import binary, embeddings, fill_middle, jaccard, lines, mixing, packing, pii, quality, repeats, resampling, toxicity
 from mailquarry.llm._runtime import stage_path
 
 #: Where the vocabulary files lie.
@@ -75,6 +75,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    spans = F.transform("spans", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string")))
+    return found.select("doc_id", "held_out", "score", "predicted", "n_sentences", F.array_join(spans, ",").alias("offending"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_products": op9_top_products,
     "op6_token_binary": op6_token_binary,
     "op10_personal_data": op10_personal_data,
+    "op11_toxicity": op11_toxicity,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
