@@ -70,7 +70,7 @@ def base_spans(text: str) -> list[Span]:
 LABELS = ("O", *(f"{x}-{k}" for k in ADDED_KINDS for x in "BI"))
 _WORD = re.compile(r"\w+|[^\w\s]")
 _WORD_OR_BREAK = re.compile(r"\w+|[^\w\s]|\n")
-#: Words whose scores a worker holds.
+#: Words whose scores a worker holds when it turns to further texts; row numbers that are handed out stay as long as they are used.
 _MOST_WORDS = 400_000
 _REACH = 2
 _NEVER = -1e4
@@ -226,9 +226,6 @@ class _Rows(dict):
         self["\n"] = 0  # nothing beyond a line's ends
 
     def __missing__(self, word: str) -> int:
-        if len(self) > _MOST_WORDS:
-            self.clear()
-            self["\n"] = 0
         row = len(self)
         if row == len(self.table):
             self.table = np.resize(self.table, (2 * row, *self.table.shape[1:]))
@@ -467,7 +464,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field: Field | None = None) -> DataFrame:
-    """``docs`` with every span of ``text_col`` replaced by its kind in angle brackets; overlapping ones as one, by the first kind."""
+    """``docs`` with every span of ``text_col`` replaced by its kind in angle brackets; overlapping ones as one, by the first kind.
+
+    Null texts stay null, all other columns and repeated rows as they are; an empty table gives no rows. Very long texts are taken line by line.
+    """
     model = field or train(training_rows())
 
     @F.pandas_udf("string")

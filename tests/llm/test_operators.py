@@ -481,6 +481,26 @@ def test_lines_left_closed_hold_no_span(spark, sf_dir):
         assert {i for i, x in enumerate(labels) if x.any()} <= set(numbers)
 
 
+def test_spans_do_not_depend_on_what_a_worker_holds(spark, sf_dir, monkeypatch):
+    """Any limit of words and any order of texts give the spans of a fresh field for each text."""
+    field = pii.train(pii.training_rows())
+    texts = sorted(r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()) + H.texts()[:1]
+    texts = [t + '\nmy key: "9f86d081884c7d659a2feaa0c55ad015"' * (k % 9 == 0) for k, t in enumerate(texts)]
+    bases = [pii.base_spans(t) for t in texts]
+    want = []
+    for t, b in zip(texts, bases, strict=True):
+        field.rows = None
+        want += pii.added_spans(field, [t], [b])
+    assert sum(map(len, want)) > 10
+    for limit, steps in ((50, (7, len(texts))), (3_000, (40,))):
+        monkeypatch.setattr(pii, "_MOST_WORDS", limit)
+        for step in steps:
+            for order in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+                order = list(order)
+                got = [x for a in range(0, len(order), step) for x in pii.added_spans(field, [texts[i] for i in order[a : a + step]], [bases[i] for i in order[a : a + step]])]
+                assert got == [want[i] for i in order]
+
+
 def test_base_patterns_on_a_whole_table(spark, sf_dir):
     """The contract's patterns by plain regular expressions, over all documents."""
     import re
