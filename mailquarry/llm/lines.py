@@ -33,7 +33,9 @@ def _occurrences(docs: DataFrame, id_col: str, text_col: str, leading: int, min_
 
     A long line's key is its line_key, or a hash of its tokens as they stand if fewer than ``min_kept`` % of them are without digits.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("twin"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
+    # Cut before they are exploded, so that no row of a line carries its text.
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("twin"), F.split(F.col(text_col), "\n").alias("lines"))
+    rows = rows.select("doc_id", "twin", F.posexplode("lines").alias("pos", "line"))
     rows = rows.withColumn("tokens", tokens(F.col("line")))
     plain = F.translate("line", "0123456789", "") == F.col("line")
     fields = F.when(plain, F.col("tokens")).otherwise(F.transform("tokens", generalised))
@@ -70,10 +72,11 @@ def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     # The distinct lines of those leaves, with their tokens; each comes from the first document that has it.
     one = places.groupBy("leaf", "line_key").agg(F.min(F.struct("doc_id", "twin", "pos")).alias("at")).select("leaf", "line_key", "at.*")
     wanted = one.groupBy("doc_id", "twin").agg(F.collect_list(F.struct("pos", "leaf", "line_key")).alias("picks"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("twin"))
+    # Lines are cut below the join: each pick reads its own by position, and only that goes on.
+    texts = docs.select(F.col(id_col).alias("id"), F.split(F.col(text_col), "\n").alias("all"), F.xxhash64(text_col).alias("twin"))
     held = texts.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (texts["twin"] == wanted["twin"]))
-    held = held.select(F.split("text", "\n").alias("all"), F.explode("picks").alias("pick"))
-    distinct = held.select("pick.leaf", "pick.line_key", F.transform(tokens(F.get("all", F.col("pick.pos"))), generalised).alias("tokens"))
+    held = held.select(F.explode(F.transform("picks", lambda p: F.struct(p["leaf"].alias("leaf"), p["line_key"].alias("line_key"), F.get("all", p["pos"]).alias("line")))).alias("pick"))
+    distinct = held.select("pick.leaf", "pick.line_key", F.transform(tokens(F.col("pick.line")), generalised).alias("tokens"))
     distinct = stage(distinct.dropDuplicates(["leaf", "line_key"]).join(per_line, ["leaf", "line_key"]), "distinct_lines")
 
     # A token stays where enough documents of its leaf have it in its place; what varies becomes a field.
@@ -113,20 +116,24 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     are shuffled twice, by document: to fetch those lines, and to leave out what goes. Counts are combined before each shuffle,
     and hot templates only meet tables with one row per template.
 
+    A very long text is never beside the rows of its lines, and work on it grows with its lines alone.
+
     Null text: stays null, with 0 lines. Empty or blank lines are never dropped. Repeated rows are one document here, all treated alike.
     Null ids are kept. Columns named n_lines or n_dropped are replaced, others of any name kept. An empty table gives no rows.
     """
     drops = recurring(docs, id_col, text_col, min_docs, leading, min_kept, long_tokens)
-    of_id, of_twin, at = spare(docs, "drop_id", "drop_twin", "drop_pos")
+    of_id, of_twin, at, lines, twin = spare(docs, "drop_id", "drop_twin", "drop_pos", "doc_lines", "doc_twin")
     drops = stage(drops.groupBy(F.col("doc_id").alias(of_id), F.col("twin").alias(of_twin)).agg(F.collect_set("pos").alias(at)), "drops")
-    joined = docs.join(drops, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.xxhash64(text_col) == F.col(of_twin)), "left")
-    lines = F.split(F.col(text_col), "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(at, i)), "\n")
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    # The lines go through the join in place of the text, which they give again; what stays is a difference of sets of positions.
+    cut = docs.withColumns({lines: F.split(F.col(text_col), "\n"), twin: F.xxhash64(text_col)}).drop(text_col)
+    joined = cut.join(drops, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(twin) == F.col(of_twin)), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(at))
+    left = F.when(F.col(at).isNull(), F.array_join(lines, "\n")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n"))
+    n_lines = F.when(F.col(lines).isNull(), 0).otherwise(F.size(lines)).cast("long")
     n_dropped = F.coalesce(F.size(at), F.lit(0)).cast("long")
-    text = F.when(F.col(at).isNull(), F.col(text_col)).otherwise(left)
-    values = {"n_lines": n_lines, "n_dropped": n_dropped, text_col: text}
-    return joined.withColumns(values).drop(of_id, of_twin, at)
+    values = {"n_lines": n_lines, "n_dropped": n_dropped, text_col: left}
+    new = [c for c in ("n_lines", "n_dropped") if c not in docs.columns]
+    return joined.withColumns(values).select(*[F.col(f"`{c}`") for c in docs.columns], *new)
 
 
 #: What is left of each document, with long lines dropped too, in DuckDB.

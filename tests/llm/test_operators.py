@@ -551,3 +551,17 @@ def test_ftrl_is_the_plain_update():
                 n[i] += g * g
     got = quality.ftrl(rows, epochs=2)
     assert np.allclose([got[i] for i in range(50)] + [got[-1]], [weight(i) for i in range(50)] + [weight(1 << quality.BITS)])
+
+
+def test_line_dedup_of_very_long_texts(spark, tmp_path):
+    """Two texts of 60,000 lines that share half of them: rows of lines carry no text, and the work grows with the lines."""
+    n = 60_000
+    texts = ["\n".join(f"{k if j % 2 else 'both'} line {j} of the long text " + "with more words " * 7 for j in range(n)) for k in ("one", "two")]
+    spark.createDataFrame([*enumerate(texts), (9, None), (10, "")], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got = {r.doc_id: r for r in lines.dedup(spark.read.parquet(str(tmp_path / "d")), min_docs=3, long_tokens=lines.LONG_TOKENS).collect()}
+    assert got[9].text is None and got[10].text == ""
+    # Tokens with digits are fields: all lines of "both" are one long line of two documents, which stays at its first place only.
+    assert (got[0].n_lines, got[0].n_dropped) == (n, n // 2 - 1) and (got[1].n_lines, got[1].n_dropped) == (n, n // 2)
+    for r, t in ((got[0], texts[0]), (got[1], texts[1])):
+        own = [x for j, x in enumerate(t.split("\n")) if j % 2 or (j == 0 and r.doc_id == 0)]
+        assert r.text.split("\n") == own
