@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from pathlib import Path
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailquarry.functions.attachments import decode
+from mailquarry.sources.mailfiles import write_files
 
 PREFIX = "test_attachments"
 
@@ -21,32 +18,17 @@ def manifest(mails: DataFrame, prefix: str = PREFIX) -> DataFrame:
     return rows.withColumn("n_same", F.count("*").over(Window.partitionBy("email_id", "key")).cast("long"))
 
 
-def directory_writer(root: str) -> Callable[[str, bytes], None]:
-    """Writes under a directory that all executors share. A name that stands for a directory becomes underscores."""
-
-    def write(key: str, data: bytes) -> None:
-        folder, _, name = key.rpartition("/")
-        target = Path(root) / folder / ("_" * max(1, len(name)) if name in ("", ".", "..") else name)
-        target.parent.mkdir(parents=True, exist_ok=True)
-        target.write_bytes(data)
-
-    return write
-
+def rebuild(mails: DataFrame, target: str | None = None, staging: str | None = None, prefix: str = PREFIX) -> DataFrame:
+    """Write every attachment to the file of its key under ``target``, on the executors; without a target, a dry run. Returns the manifest.
 
-def rebuild(mails: DataFrame, write: Callable[[str, bytes], None] | None = None, prefix: str = PREFIX) -> DataFrame:
-    """Write every attachment to its key by ``write(key, bytes)``, on the executors; without a writer, a dry run.
-
-    Returns the manifest. A writer must overwrite, as a task that is run again writes the same files.
+    ``target`` is a path of any file system that pyarrow reaches, ``staging`` a folder for the tables of the commit. Files appear whole or not at
+    all, see ``mailfiles.write_files``. Of attachments of one mail that share a key the last is written. Parts of a key that stand
+    for folders become underscores there.
     """
-    if write is not None:
-        files = mails.select("email_id", F.explode("attachments").alias("a"))
-        files = files.select(F.concat_ws("/", F.lit(prefix), "email_id", F.col("a.filename")).alias("key"), decode(F.col("a.data_base64")).alias("data"))
-
-        def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for key, data in zip(batch["key"], batch["data"], strict=True):
-                    write(key, bytes(data))
-                yield batch[["key"]]
-
-        files.mapInPandas(put, "key string").write.format("noop").mode("overwrite").save()
+    if target is not None:
+        if staging is None:
+            raise ValueError("a folder for the commit's tables is needed")
+        files = mails.select("email_id", F.posexplode("attachments").alias("pos", "a"))
+        files = files.select(F.concat_ws("/", F.lit(prefix), "email_id", F.col("a.filename")).alias("key"), decode(F.col("a.data_base64")).alias("content"), F.lpad(F.col("pos").cast("string"), 10, "0").alias("place"))
+        write_files(files, target, staging, order="place")
     return manifest(mails, prefix)

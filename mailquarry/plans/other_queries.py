@@ -181,12 +181,6 @@ SELECT email_id, key, CAST(n_bytes AS BIGINT) AS n_bytes, hash, count(*) OVER (P
         mails = named(spark, sf_dir).where("text IS NOT NULL").groupBy(F.col("conv_id").cast("string").alias("email_id")).agg(F.collect_list(one).alias("attachments"))
         return AO.manifest(mails)
 
-    @register("eml_ingest")
-    def eml_ingest(spark, sf_dir):
-        mails = fixtures.emails(spark, sf_dir)
-        raw = F.concat_ws("", F.regexp_replace(F.coalesce("raw_headers", F.lit("")), "(?i)content-(type|transfer-encoding):[^\r]*", "X-Was: y"), F.lit("\r\n\r\n"), "body")
-        return parse_mails(mails.select(F.concat(F.lit("/mails/"), "og_fname").alias("path"), raw.cast("binary").alias("content"))).drop("attachments")
-
     @register("eml_mime", f"""
 WITH mails AS ({MIME.replace('@b64@', 'to_base64(encode(t))').format(docs='documents')}), ids AS (SELECT *, sha256(concat('/mails/', og_fname, raw)) AS id FROM mails)
 SELECT concat_ws('-', substr(id, 1, 8), substr(id, 9, 4), substr(id, 13, 4), substr(id, 17, 4), substr(id, 21, 12)) AS email_id, og_fname,

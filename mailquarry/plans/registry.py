@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mailquarry.functions import headers, urls
 from mailquarry.functions.body import GROUPS, body_features
-from mailquarry.plans import fixtures, mail_sql, other_queries
+from mailquarry.plans import file_queries, fixtures, mail_sql, other_queries
 from mailquarry.plans.body_sql import body_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,7 @@ register("url_wordlist", mail_sql.URL_WORDLIST)(lambda spark, sf_dir: urls.url_w
 
 
 other_queries.register_all(register)
+file_queries.register_all(register)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

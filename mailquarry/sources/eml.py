@@ -11,10 +11,13 @@ from email.message import EmailMessage
 from email.parser import BytesParser
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailquarry.functions.html import select_body
+from mailquarry.operators.sample import contiguous
+from mailquarry.sources import mailfiles
 from mailquarry.sources.schema import ATTACHMENT
 
 _ILLEGAL = str.maketrans(dict.fromkeys('/\\:*?"<>|', "_"))
@@ -23,8 +26,8 @@ _NO_CHARSET = ("", "default", "unknown", "none")
 _JOB = f"email_id string, og_fname string, header_list string, raw_headers string, plain string, html string, attachments array<{ATTACHMENT}>, _parse_error string"
 
 
-def read_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
-    """Every file below the paths, whatever its name, or those that match a glob: path, modificationTime, length, content. Spark leaves out files without a byte."""
+def read_binary(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+    """Files by Spark's own binary source, for stores that only the JVM reaches: path, modificationTime, length, content. It leaves out files without a byte."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(paths)
 
@@ -132,6 +135,17 @@ def parse_mails(files: DataFrame, label: str | None = None, failfast: bool = Fal
     )
 
 
-def ingest(spark: SparkSession, paths: str | list[str], glob: str | None = None, label: str | None = None, failfast: bool = False) -> DataFrame:
-    """Parsed mails of all files below the paths."""
-    return parse_mails(read_files(spark, paths, glob), label, failfast)
+def ingest(spark: SparkSession, paths: str | list[str], glob: str | None = None, label: str | None = None, failfast: bool = False, binary: bool = False) -> DataFrame:
+    """Parsed mails of all files at or below the paths, empty files too; ``binary`` reads by Spark's binary source instead."""
+    files = read_binary(spark, paths, glob) if binary else mailfiles.read_files(spark, paths, glob)
+    return parse_mails(files, label, failfast)
+
+
+def ingest_sample(spark: SparkSession, paths: str | list[str], n: int, seed: int, folder: str, glob: str | None = None, label: str | None = None, opened_files: Accumulator | None = None) -> DataFrame:
+    """Parsed mails of ``n`` files that follow each other by path, from a seeded random start.
+
+    The paths are ranked first, over a listing that is written under ``folder``; only the sample's files are opened. ``opened_files`` counts them.
+    """
+    mailfiles.read_files(spark, paths, glob, content=False).drop("content").write.parquet(f"{folder}/listing")
+    listing = spark.read.parquet(f"{folder}/listing")
+    return parse_mails(mailfiles.contents(contiguous(listing, "path", n, seed, folder), opened_files=opened_files), label)

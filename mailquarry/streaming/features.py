@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from mailquarry.plans.pipeline import wide_features
+from mailquarry.sources.eml import parse_mails
 from mailquarry.sources.schema import PARSED
 
+BINARY = "path string, modificationTime timestamp, length long, content binary"
+
 
 def read_arriving(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """A stream of parsed mails from a folder of JSON lines."""
@@ -15,10 +18,27 @@ def read_arriving(spark: SparkSession, path: str, files_per_trigger: int | None
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).json(path)
 
 
+def read_arriving_files(spark: SparkSession, path: str, glob: str | None = None, files_per_trigger: int | None = None, label: str | None = None) -> DataFrame:
+    """A stream of the mails in files as they arrive at or below a folder: each file once, whatever its name, over any number of restarts.
+
+    Spark's file stream keeps the names of the files it has read with the query's checkpoint. A file must appear whole (moved into place, as
+    ``mailfiles.write_files`` does); files without a byte are left out.
+    """
+    reader = spark.readStream.format("binaryFile").schema(BINARY).option("recursiveFileLookup", "true")
+    for name, value in (("pathGlobFilter", glob), ("maxFilesPerTrigger", files_per_trigger)):
+        reader = reader.option(name, value) if value else reader
+    return parse_mails(reader.load(path), label)
+
+
+def write_parsed(mails: DataFrame, target: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """A stream of parsed mails to Parquet, each once. once: end when everything that is there now has been read."""
+    writer = mails.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def write_features(mails: DataFrame, target: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Wide features of a stream to Parquet, exactly once per mail. Each row stands alone, so there is no state and no watermark.
 
     once: end when everything that is there now has been read.
     """
-    writer = wide_features(mails).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append")
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return write_parsed(wide_features(mails), target, checkpoint, once)

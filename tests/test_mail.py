@@ -60,7 +60,7 @@ def mails(spark, corpus):
 
 
 def test_every_file_is_parsed(mails):
-    assert set(mails) == {n.rsplit("/", 1)[-1] for n in MAILS if MAILS[n]}
+    assert set(mails) == {n.rsplit("/", 1)[-1] for n in MAILS}
     assert {r.label for r in mails.values()} == {"ham"} and not any(r._parse_error for r in mails.values())
 
 
@@ -96,20 +96,23 @@ def test_ids_are_stable_and_glob_selects(spark, corpus, mails):
 def test_pipeline_round_trip(spark, corpus, tmp_path):
     paths = run_pipeline(spark, corpus, str(tmp_path / "out"), label="spam")
     wide = joined_features(spark, paths)
-    assert wide.count() == len(MAILS) - 1 and len(wide.columns) == 1 + 27 + 43
+    assert wide.count() == len(MAILS) and len(wide.columns) == 1 + 27 + 43
     mails = spark.read.parquet(paths["parsed"])
     files.write_json(mails, str(tmp_path / "lines"))
     files.write_json(mails.limit(1), str(tmp_path / "lines"))
     back = files.read_parsed(spark, str(tmp_path / "lines"))
-    assert back.count() == len(MAILS) and back.where("body = 'Café & bar'").count() == 1
+    assert back.count() == len(MAILS) + 1 and back.where("body = 'Café & bar'").count() == 1
 
 
 def test_rebuild(spark, corpus, tmp_path):
     mails = ingest(spark, corpus)
     assert {(r.n_bytes, r.n_same) for r in attachments.rebuild(mails).collect()} == {(9, 1), (3, 1)}
     assert not list(tmp_path.rglob("*.pdf"))
-    attachments.rebuild(mails, attachments.directory_writer(str(tmp_path)))
-    assert [p.read_bytes() for p in tmp_path.rglob("*.pdf")] == [b"%PDF-data"]
+    attachments.rebuild(mails, str(tmp_path / "out"), str(tmp_path / "staging"))
+    found = {p.name: p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert found == {"a_b_c.pdf": b"%PDF-data", "unnamed_attachment.png": b"PNG"}
+    with pytest.raises(ValueError):
+        attachments.rebuild(mails, str(tmp_path / "out"))
 
 
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
@@ -161,12 +164,3 @@ def test_classifier_learns_saves_and_loads(spark, tmp_path):
     classifier.save(model, str(tmp_path), "u1")
     assert classifier.load(str(tmp_path), "u1").transform(df).where("prediction = label").count() == 90
     assert classifier.metrics(df.withColumn("prediction", F.lit(0))).head().precision == 0.0
-
-
-def test_attachment_names_that_are_directories(tmp_path):
-    from mailquarry.operators.attachments import directory_writer
-
-    write = directory_writer(str(tmp_path))
-    for name in ("a.txt", "..", "."):
-        write(f"pre/mail/{name}", b"x")
-    assert sorted(p.name for p in (tmp_path / "pre/mail").iterdir()) == ["_", "__", "a.txt"]
