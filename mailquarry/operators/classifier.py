@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailquarry.functions.ngrams import char_ngrams, vectorizer, vocabulary
+from mailquarry.functions.ngrams import char_ngrams, term_counts, vectorizer, vocabulary
 from mailquarry.functions.text import ratio
 
 VOCABULARY = 10_000
@@ -24,19 +25,36 @@ def with_grams(df: DataFrame, text: str = "url", grams: str = "grams") -> DataFr
     return df.withColumn(grams, char_ngrams(F.col(text)))
 
 
-def train(rows: DataFrame, label: str = "label", grams: str = "grams", size: int = VOCABULARY, strength: float = 1.0, rounds: int = 100, vocabulary_of: DataFrame | None = None, l1_ratio: float = 0.0, weight: str | None = None) -> PipelineModel:
+def train(rows: DataFrame, label: str = "label", grams: str = "grams", size: int = VOCABULARY, strength: float = 1.0, rounds: int = 100, vocabulary_of: DataFrame | None = None, l1_ratio: float = 0.0, weight: str | None = None, tolerance: float = 1e-6) -> PipelineModel:
     """Count vectors and a penalised logistic regression of them; ``strength`` is the inverse of the penalty on the summed loss.
 
     The vocabulary comes from ``vocabulary_of``, by default from the training rows.
     """
     counts = vectorizer(rows.sparkSession, vocabulary(vocabulary_of if vocabulary_of is not None else rows, grams, size), grams, "features")
     n = max(1, rows.count())
-    model = LogisticRegression(featuresCol="features", labelCol=label, maxIter=rounds, regParam=1 / (strength * n), elasticNetParam=l1_ratio, standardization=False)
+    model = LogisticRegression(featuresCol="features", labelCol=label, maxIter=rounds, regParam=1 / (strength * n), elasticNetParam=l1_ratio, standardization=False, tol=tolerance)
     if weight:
         model = model.setWeightCol(weight)
     return PipelineModel([counts, model.fit(counts.transform(rows.withColumn(label, F.col(label).cast("double"))))])
 
 
+def gradient(model: PipelineModel, rows: DataFrame, key: str, label: str = "label", grams: str = "grams") -> DataFrame:
+    """(term, gradient): the slope of the penalised mean loss along every weight of a fitted model, 0 all over at its optimum; the intercept's term is null.
+
+    Recomputed from the rows, apart from the solver: residuals joined to term counts in the long form, and summed by term before the
+    shuffle. Weights, at most as many as the vocabulary, come from the model. For models without L1 part; ``rows`` are those it was trained on, told apart by ``key``.
+    """
+    counts, fitted = model.stages[0], model.stages[1]
+    penalty = fitted.getOrDefault("regParam")
+    spark = rows.sparkSession
+    weights = spark.createDataFrame([(t, float(w)) for t, w in zip(counts.vocabulary, fitted.coefficients.toArray(), strict=True)], "term string, weight double")
+    residual = model.transform(rows).select(key, (vector_to_array("probability")[1] - F.col(label)).alias("residual"))
+    n = residual.count()
+    slopes = term_counts(rows, key, grams, weights).join(residual, key).groupBy("term").agg(F.sum(F.col("n") * F.col("residual")).alias("slope"))
+    of_terms = weights.join(slopes, "term", "left").select("term", (F.coalesce("slope", F.lit(0.0)) / n + penalty * F.col("weight")).alias("gradient"))
+    return of_terms.unionByName(residual.agg(F.avg("residual").alias("gradient")).select(F.lit(None).cast("string").alias("term"), "gradient"))
+
+
 def metrics(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(n, accuracy, precision, recall, f1) of class 1 to four digits, 0 where a denominator is; one aggregate."""
     y, p = F.col(label) == 1, F.col(prediction) == 1

@@ -38,11 +38,29 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None, disregard:
     return rows.groupBy("key", "value").agg(F.count("*").alias("n"))
 
 
+def json_map(column: Column | str) -> Column:
+    """A JSON object's top-level keys with their values as text, whatever characters the keys hold; null for what is no JSON object.
+
+    Strings are as they are, numbers by value (1.50 is 1.5), lists and objects compact JSON. An object that repeats a key is none.
+    """
+    return F.try_variant_get(F.try_parse_json(column), "$", "map<string,string>")
+
+
 def keys(df: DataFrame, json_column: str | None = None) -> DataFrame:
     """(key): the columns, or the distinct top-level keys of a column of JSON objects."""
     if json_column is None:
         return df.sparkSession.createDataFrame([(c,) for c in df.columns], "key string")
-    return df.select(F.explode(F.json_object_keys(json_column)).alias("key")).distinct()
+    return df.select(F.explode(F.map_keys(json_map(F.col(json_column)))).alias("key")).distinct()
+
+
+def json_types(df: DataFrame, json_column: str) -> DataFrame:
+    """(key, n, kind): the top-level keys of a column of JSON objects, how many rows have each, and the one type that takes all its values.
+
+    Types that nothing unites are VARIANT. One aggregate: schemas are merged where the rows lie before they are shuffled.
+    """
+    objects = df.select(F.try_variant_get(F.try_parse_json(F.col(json_column)), "$", "map<string,variant>").alias("m"))
+    pairs = objects.select(F.explode("m").alias("key", "value"))
+    return pairs.groupBy("key").agg(F.count("*").alias("n"), F.schema_of_variant_agg("value").alias("kind"))
 
 
 def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

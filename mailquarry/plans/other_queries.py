@@ -85,7 +85,7 @@ def _counts_sql(table: str, columns: dict[str, str]) -> str:
     return f"SELECT key, value, count(*) AS n FROM ({rows}) WHERE value IS NOT NULL GROUP BY key, value"
 
 
-_url_grams = """
+url_grams = """
 WITH pages_urls AS (SELECT page_id, list_filter(regexp_split_to_array(url, '[\\s]+'), lambda w: w <> '') AS w FROM pages),
 pieces AS (SELECT page_id, unnest(range(len(w))) AS word_no, concat(' ', unnest(w), ' ') AS p FROM pages_urls),
 sized AS (SELECT page_id, word_no, p, n FROM pieces, (VALUES (3), (4)) s(n) WHERE length(p) >= n),
@@ -197,20 +197,20 @@ FROM (SELECT *, 'ham' AS label, CAST(NULL AS VARCHAR) AS _parse_error FROM ids)"
         listed = [F.array_join(F.col(f"attachments.{field}"), ",").alias(name) for field, name in (("filename", "names"), ("hash", "hashes"), ("data_base64", "contents"), ("content_type", "kinds"))]
         return parsed.select("email_id", "og_fname", "header_list", "body", *listed, "label", "_parse_error")
 
-    @register("url_ngrams", _url_grams + " SELECT page_id, pos, gram FROM listed")
+    @register("url_ngrams", url_grams + " SELECT page_id, pos, gram FROM listed")
     def url_ngrams(spark, sf_dir):
         return _urls(spark, sf_dir).select("page_id", F.posexplode("grams").alias("pos", "gram")).withColumn("pos", F.col("pos").cast("long"))
 
-    @register("url_vocab_topk", _url_grams + _top(TOP_TERMS) + " SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS idx, term, tf FROM counted")
+    @register("url_vocab_topk", url_grams + _top(TOP_TERMS) + " SELECT CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS idx, term, tf FROM counted")
     def url_vocab_topk(spark, sf_dir):
         return N.vocabulary(_urls(spark, sf_dir), "grams", TOP_TERMS)
 
-    @register("url_term_counts", _url_grams + _top(TOP_TERMS) + " SELECT page_id, gram AS term, count(*) AS n FROM listed JOIN counted ON gram = term GROUP BY page_id, gram")
+    @register("url_term_counts", url_grams + _top(TOP_TERMS) + " SELECT page_id, gram AS term, count(*) AS n FROM listed JOIN counted ON gram = term GROUP BY page_id, gram")
     def url_term_counts(spark, sf_dir):
         rows = _urls(spark, sf_dir)
         return N.term_counts(rows, "page_id", "grams", N.vocabulary(rows, "grams", TOP_TERMS))
 
-    @register("url_wide_top", _url_grams + _top(WIDE_TERMS) + """,
+    @register("url_wide_top", url_grams + _top(WIDE_TERMS) + """,
 ranked AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM counted),
 hits AS (SELECT page_id, idx, count(*) AS n FROM listed JOIN ranked ON gram = term GROUP BY page_id, idx)
 SELECT p.page_id, """ + ", ".join(f"CAST(coalesce(sum(CASE WHEN idx = {i} THEN n END), 0) AS BIGINT) AS t{i}" for i in range(WIDE_TERMS)) + " FROM pages p LEFT JOIN hits h USING (page_id) GROUP BY p.page_id")

@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from mailquarry.sources.schema import PARSED
 
 
-def read_parsed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Parsed mails from JSON lines; a fixed schema, so the files are read once."""
-    return spark.read.schema(PARSED).json(path)
+def read_parsed(spark: SparkSession, path: str | list[str], corrupt: str | None = None) -> DataFrame:
+    """Parsed mails from JSON lines; a fixed schema, so the files are read once.
+
+    ``corrupt`` names a column that has the text of lines that cannot be read; without it they are rows of nulls.
+    """
+    if corrupt is None:
+        return spark.read.schema(PARSED).json(path)
+    return spark.read.schema(f"{PARSED}, `{corrupt}` string").option("columnNameOfCorruptRecord", corrupt).json(path)
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], encoding: str = "UTF-8") -> DataFrame:

@@ -140,6 +140,65 @@ def test_html(spark):
     assert [r[0] for r in df.select(html_to_text(F.col("h"))).collect()] == list(cases.values())
 
 
+ODD = [
+    '{"a.b": 1.50, "it\'s": "x", "q\\"q": [1, {"k": null}], "$": null, "": "empty"}', '{"a.b": {"c": true}, "z": 12345678901234567890}', '{"z": 2}',
+    "[1, 2]", "{broken", '{"d": 1, "d": 2}', None, "{}",
+]
+
+
+def test_json_keys_of_any_characters(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "id int, j string")
+    wide = convert.json_union(df, "j", keep=("id",), corrupt="bad")
+    assert wide.columns == ["id", "", "$", "a.b", "it's", "q\"q", "z", "bad"]
+    got = {r[0]: tuple(r)[1:] for r in wide.collect()}
+    assert got[0] == ("empty", None, "1.5", "x", '[1,{"k":null}]', None, None)
+    assert got[1][2:3] == ('{"c":true}',) and got[1][5] == "12345678901234567890" and got[2][5] == "2"
+    assert [i for i in got if got[i][6] is not None] == [3, 4, 5] and got[6] == got[7] == (None,) * 7
+    few = convert.json_union(df, "j", keep=("id",), max_columns=2)
+    assert few.columns == ["id", "a.b", "z", "_rest"]  # the keys of most rows; the others stay together
+    rest = {r.id: r._rest for r in few.collect()}
+    assert json.loads(rest[0]) == {"": "empty", "it's": "x", 'q"q': '[1,{"k":null}]'} | ({"$": None} if "$" in rest[0] else {}) and rest[1] is None and rest[7] is None
+    kinds = {r.key: (r.n, r.kind) for r in profile.json_types(df, "j").collect()}
+    assert kinds["z"] == (2, "DECIMAL(20,0)") and kinds["a.b"] == (2, "VARIANT") and kinds["it's"] == (1, "STRING")
+    assert {r.key for r in profile.keys(df, "j").collect()} == {"", "$", "a.b", "it's", 'q"q', "z"}
+    assert convert.json_union(df.where("id > 5"), "j", keep=("id",)).columns == ["id"]
+
+
+def test_lines_that_are_no_json(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1}\n\n{"a": \n{"b, c": "x\\ny"}\n')
+    convert.jsonl_to_csv(spark, str(tmp_path / "x.json"), str(tmp_path / "csv"), corrupt="bad")
+    back = files.read_csv(spark, str(tmp_path / "csv"), ["a", "b, c", "bad"])
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, [("1", None, None), (None, "x\ny", None), (None, None, '{"a": ')]))
+    with pytest.raises(Exception, match="no JSON object"):
+        convert.jsonl_to_csv(spark, str(tmp_path / "x.json"), str(tmp_path / "other"))
+    (tmp_path / "mails").write_text('{"email_id": "1", "body": "b"}\n{"email_id": \n')
+    got = files.read_parsed(spark, str(tmp_path / "mails"), corrupt="bad").collect()
+    assert [(r.email_id, r.bad) for r in got] == [("1", None), (None, '{"email_id": ')]
+    assert files.read_parsed(spark, str(tmp_path / "mails")).count() == 2
+
+
+def test_slopes_in_sql_from_exported_weights(spark, sf_dir, duck):
+    """The gradient at the fitted weights, recomputed in DuckDB; and away from the optimum it is no longer flat."""
+    from mailquarry.plans.other_queries import url_grams
+
+    rows = classifier.with_grams(fixtures.urls(spark, sf_dir))
+    for rounds, flat in ((1000, True), (2, False)):
+        model = classifier.train(rows, size=300, rounds=rounds, tolerance=1e-12)
+        ours = {r.term: r.gradient for r in classifier.gradient(model, rows, "page_id").collect()}
+        counts, fitted = model.stages
+        weights = [(t, float(w)) for t, w in zip(counts.vocabulary, fitted.coefficients.toArray(), strict=True)]
+        duck.execute("CREATE OR REPLACE TABLE weights (term VARCHAR, weight DOUBLE)")
+        duck.executemany("INSERT INTO weights VALUES (?, ?)", weights)
+        theirs = dict(duck.execute(f"""
+{url_grams}, counts AS (SELECT page_id, gram AS term, count(*) AS n FROM listed SEMI JOIN weights ON gram = term GROUP BY page_id, gram),
+margins AS (SELECT p.page_id, label, {fitted.intercept!r} + coalesce(sum(n * weight), 0) AS m FROM ({fixtures.urls_sql()}) p LEFT JOIN (SELECT * FROM counts JOIN weights USING (term)) USING (page_id) GROUP BY p.page_id, label),
+residuals AS (SELECT page_id, 1 / (1 + exp(-m)) - label AS r FROM margins)
+SELECT term, coalesce(sum(n * r), 0) / (SELECT count(*) FROM residuals) + {fitted.getOrDefault("regParam")!r} * any_value(weight) FROM weights LEFT JOIN counts USING (term) LEFT JOIN residuals USING (page_id) GROUP BY term
+UNION ALL SELECT NULL, avg(r) FROM residuals""").fetchall())
+        assert set(ours) == set(theirs) and all(abs(ours[t] - theirs[t]) < 1e-9 for t in ours)
+        assert (max(map(abs, ours.values())) < 1e-5) == flat
+
+
 def test_profile_and_conversion(spark, tmp_path):
     lines = [{"a": 1, "b": [1, 2]}, {"a": 1, "c": {"d": 2}}, {"b": []}]
     (tmp_path / "x.json").write_text("\n".join(map(json.dumps, lines)))
