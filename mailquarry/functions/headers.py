@@ -8,8 +8,8 @@ from email.utils import parseaddr, parsedate_tz
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from mailquarry.functions import rfc
 from mailquarry.functions.text import count_char, matches
 
 # Fixed values.
@@ -20,9 +20,6 @@ OFFICE_HOURS = (8, 18)
 MOST_SEMICOLONS = 10
 LARGEST_OFFSET = 50_400
 
-RFC_SCHEMA = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("display", "address", "reply")] + [T.StructField(n, T.IntegerType()) for n in ("weekday", "hour", "tz")]
-)
 
 
 def header_table(raw: Column) -> Column:
@@ -55,9 +52,9 @@ def header_list(headers: Column) -> Column:
     return F.array_join(F.transform(headers, lambda h: h["name"]), ",")
 
 
-@F.pandas_udf(RFC_SCHEMA)
+@F.pandas_udf(rfc.PARTS)
 def rfc_parts(sender: pd.Series, reply_to: pd.Series, date: pd.Series) -> pd.DataFrame:
-    """What only the mail standards' own parser can read: addresses and dates. Weekday -1 means no valid date."""
+    """What the mail standards' own parser reads: addresses and dates. Weekday -1 means no valid date."""
 
     def when(value: str) -> tuple[int, int, int]:
         try:
@@ -68,7 +65,7 @@ def rfc_parts(sender: pd.Series, reply_to: pd.Series, date: pd.Series) -> pd.Dat
             return -1, 0, 0
 
     rows = [(*parseaddr(s), parseaddr(r)[1], *when(d)) for s, r, d in zip(sender, reply_to, date, strict=True)]
-    return pd.DataFrame(rows, columns=["display", "address", "reply", "weekday", "hour", "tz"])
+    return pd.DataFrame(rows, columns=rfc.PARTS.names)
 
 
 def _domain(address: Column) -> Column:
@@ -161,17 +158,31 @@ GROUPS = {
 NATIVE = ("structural", "encoding", "received")
 
 
-def header_features(df: DataFrame, raw: str = "raw_headers", key: str = "email_id", groups: tuple[str, ...] = tuple(GROUPS)) -> DataFrame:
+def header_features(df: DataFrame, raw: str = "raw_headers", key: str = "email_id", groups: tuple[str, ...] = tuple(GROUPS), one_pass: bool = False) -> DataFrame:
     """(key, features): a row per mail, on tables and streams alike. Absent headers count as empty.
 
-    Only the groups that read addresses or dates go through Python, once per row for all of them.
+    Addresses and dates of the usual forms are read by column expressions. Mails with others go through the standard library's
+    parser: in a branch of their own, which has no task at run time if there are none, so that regular mails meet no Python at all; the table is
+    scanned twice then, for keys and headers alone. ``one_pass`` keeps to one scan, for frames that hold much more than headers: the
+    three values of every row go through the parser.
     """
-    rows = df.select(key, header_table(F.col(raw)).alias("_h"))
-    if set(groups) - set(NATIVE):
-        parts = rfc_parts(*(header_value(F.col("_h"), n) for n in ("From", "Reply-To", "Date")))
-        rows = rows.withColumn("_r", parts)
-    else:
-        rows = rows.withColumn("_r", F.lit(None).cast(RFC_SCHEMA))
+    if not set(groups) - set(NATIVE):
+        rows = df.select(key, header_table(F.col(raw)).alias("_h"), F.lit(None).cast(rfc.PARTS).alias("_r"))
+        return _features(rows, key, groups)
+    values = [header_value(F.col("_h"), n).alias(c) for n, c in (("From", "_from"), ("Reply-To", "_reply"), ("Date", "_date"))]
+    parsed = lambda rows: rows.select(key, header_table(F.col(raw)).alias("_h")).select("*", *values)
+    read = lambda rows: parsed(rows).select(key, "_h", rfc_parts("_from", "_reply", "_date").alias("_r"))
+    if one_pass:
+        return _features(read(df), key, groups)
+    usual = rfc.regular(F.col(raw))
+    cut = [rfc.cut_address(F.col("_from")).alias("_f"), rfc.cut_address(F.col("_reply")).alias("_t"), rfc.cut_date(F.col("_date")).alias("_d")]
+    # Exploding one value holds Spark back from working it out again for every feature that reads it.
+    plain = parsed(df.where(usual)).select("*", *cut).select(key, "_h", F.explode(F.array(rfc.parts(F.col("_f"), F.col("_t"), F.col("_d")))).alias("_r"))
+    # A shuffle of the other mails: they are spread evenly, and if there are none no task runs beyond it.
+    return _features(plain.unionByName(read(df.where(~usual).select(key, raw).hint("rebalance"))), key, groups)
+
+
+def _features(rows: DataFrame, key: str, groups: tuple[str, ...]) -> DataFrame:
     columns = {n: c for g in groups for n, c in GROUPS[g](F.col("_h"), F.col("_r")).items()}
     return rows.select(key, *[c.alias(n) for n, c in columns.items()])
 

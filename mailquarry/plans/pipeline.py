@@ -18,7 +18,7 @@ def wide_features(mails: DataFrame) -> DataFrame:
     texts = with_body_features(mails.select("email_id", "raw_headers", F.col("body").alias("_body")), "_body").select("*", urls).drop("_body")
     names = [c for c in texts.columns if c not in ("email_id", "raw_headers")]
     packed = texts.select(F.struct("email_id", *names).alias("email_id"), "raw_headers")
-    heads = header_features(packed)
+    heads = header_features(packed, one_pass=True)
     return heads.select("email_id.*", *[c for c in heads.columns if c != "email_id"])
 
 
