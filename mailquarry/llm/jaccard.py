@@ -149,8 +149,11 @@ def _keys(words: int, percent: int, frequent: np.ndarray):
 
 def _arrays(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(cls, shingles) of rows (cls, text)."""
+        """(cls, shingles) of rows (cls, text); of repeated rows of a task one."""
+        seen: set[int] = set()
         for batch in batches:
+            fresh = [k for k, cls in enumerate(batch.column(0).to_pylist()) if cls not in seen and not seen.add(cls)]
+            batch = batch.take(pa.array(fresh, pa.int64()))
             found = [s.tobytes() for _, texts in _texts(batch, 1) for s in shingle_sets(texts, words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["cls", "shingles"])
 
@@ -281,10 +284,12 @@ def near_duplicates(
     words: int = WORDS,
     percent: int = PERCENT,
     tile_rows: int = TILE_ROWS,
+    with_groups: bool = False,
 ) -> DataFrame:
     """Documents linked where their sets of word shingles have a Jaccard similarity of ``percent`` % or more.
 
-    Returns a row per document: doc_id, n_shingles, component_id (the smallest id that links reach).
+    Returns a row per document: doc_id, n_shingles, component_id (the smallest id that links reach). ``with_groups`` adds twin, a hash of the
+    text, which parts rows of one id, and group, which is one number for all that links reach, ids or not; null without shingles.
 
     How: equal sets are one class, whatever their number. With shingles in one global order, two sets that are alike
     enough share one of their first n - ceil(n * percent / 100) + 1; these are the keys. The classes of a key are in the group of its
@@ -302,12 +307,14 @@ def near_duplicates(
     64-bit hashes: among n distinct sets, n^2 / 2^65 pairs are taken for equal by chance.
 
     Null or empty texts, and those without words, have no shingles and are linked with nothing. Repeated rows are copies. A null id has a null
-    component unless it is linked with a row that has an id. An empty table gives no rows. Only the two named columns are read.
+    component unless it is linked with a row that has an id. A row that is repeated is one row of its class wherever texts are compared. A
+    very long text is one set like any other, and its tile may be its own. An empty table gives no rows. Only the two named columns are read.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("twin"))
     sets = stage(rows.mapInArrow(_sets(words), "doc_id long, twin long, n long, cls long, sign binary"), "sets")
+    repeated = bool(sets.where("n > 0").groupBy("doc_id", "twin").count().where("count > 1").take(1))
     share = min(1.0, ORDER_SAMPLE / max(1, sets.count()))
     picked = rows.where(F.pmod(F.xxhash64("doc_id", "twin"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
     counted = picked.select("text").mapInArrow(_sampled(words), "shingle long").groupBy("shingle").count()
@@ -331,6 +338,7 @@ def near_duplicates(
         wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_CLASSES else wanted
         texts = rows.join(wanted, (F.coalesce("doc_id", F.lit(0)) == F.coalesce("id", F.lit(0))) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("twin") == F.col("of")))
         arrays = stage(texts.select("cls", "text").mapInArrow(_arrays(words), "cls long, shingles binary"), f"{name}_shingles")
+        arrays = arrays.dropDuplicates(["cls"]) if repeated else arrays
         return stage(tiles.join(arrays, "cls").groupBy("grp", "i", "j").applyInArrow(_links(percent), "a long, b long"), f"{name}_links")
 
     first = members.where("cls <> low").groupBy("cls").agg(F.max_by("low", F.struct("keys", "low")).alias("low"), F.max("keys").alias("keys"), F.first("n").alias("n"))
@@ -362,8 +370,15 @@ def near_duplicates(
     part = of_class.join(joined, "component", "left").select("cls", F.coalesce("further", "component").alias("component"))
     reps = stage(sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), "representatives")
     least = stage(part.join(reps, "cls").groupBy("component").agg(F.min("rep").alias("least")), "least_ids")
-    of_part = part.join(least, "component").select("cls", "least")
-    ids = stage(reps.join(of_part, "cls", "left").select("cls", F.coalesce("least", "rep").alias("component_id")), "component_ids")
-    found = sets.select("doc_id", "n", "cls").join(ids, "cls", "left")
+    of_part = part.join(least, "component").select("cls", "component", "least")
+    ids = reps.join(of_part, "cls", "left").select("cls", F.coalesce("least", "rep").alias("component_id"), F.coalesce("component", "cls").alias("group"))
+    found = sets.select("doc_id", "twin", "n", "cls").join(stage(ids, "component_ids"), "cls", "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+    more = ["twin", F.when(F.col("n") > 0, F.col("group")).alias("group")] if with_groups else []
+    return found.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"), *more)
+
+
+def kept_rows(groups: DataFrame) -> DataFrame:
+    """(doc_id, twin) of the rows that stay of a result ``with_groups``: of each group the one of the smallest id, then of the smallest text hash, null ids last; and all without shingles. Each once."""
+    one = groups.where("group IS NOT NULL").groupBy("group").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "twin")).alias("at"))
+    return one.select("at.doc_id", "at.twin").unionByName(groups.where("group IS NULL").select("doc_id", "twin").distinct())

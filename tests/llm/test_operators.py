@@ -340,6 +340,20 @@ def test_jaccard_chain_of_near_copies(spark):
     assert [got[i] for i in range(len(texts))] == H.components(len(texts), linked)
 
 
+def test_repeated_rows_are_one_row_of_a_tile(spark):
+    """Thousands of repeats of one row next to a near copy: one array per class, whatever the partitions; and links stay."""
+    base = H.sentence(21, 200)
+    near = base.rsplit(" ", 3)[0] + " other end"
+    rows = [(1, base)] * 3000 + [(2, near), (3, H.sentence(22, 80)), (2, H.sentence(23, 80)), (None, near), (None, H.sentence(24, 60)), (None, ""), (4, "")]
+    docs = H.documents(spark, rows).repartition(6)
+    got = jaccard.near_duplicates(docs, with_groups=True).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter({(1, 1): 3000, (2, 1): 1, (2, 2): 1, (3, 3): 1, (None, 1): 1, (None, None): 2, (4, 4): 1})
+    arrays = spark.createDataFrame([(7, base)] * 3000 + [(8, near)], "cls long, text string").repartition(3).mapInArrow(jaccard._arrays(5), "cls long, shingles binary")
+    assert arrays.count() <= 6
+    kept = Counter(map(tuple, jaccard.kept_rows(jaccard.near_duplicates(docs, with_groups=True)).join(docs.select(F.col("doc_id").alias("i"), "text", F.xxhash64("text").alias("t")).distinct(), F.expr("doc_id <=> i AND twin = t")).select("doc_id", "text").collect()))
+    assert kept == Counter([(1, base), (3, rows[3001][1]), (2, rows[3002][1]), (None, rows[3004][1]), (None, ""), (4, "")])
+
+
 def test_repeats(docs, empty):
     rows = rows_of(docs)
     want = Counter((key, *x) for (key, _), x in zip(rows, H.repeated([(t or "").encode() for _, t in rows], 400), strict=True))

@@ -96,3 +96,11 @@ def test_stages_take_awkward_tables(spark, sf_dir, rows):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, sf_dir).cache()
         assert (docs.count() > 0) == (rows is None)
+
+
+def test_near_copies_of_rows_of_one_id(spark, sf_dir):
+    """Rows are told by id and text: a copy goes although another row of its id stays, with ids and without."""
+    a, b, c = (H.sentence(k, 60) for k in (81, 82, 83))
+    docs = H.documents(spark, [(2, b), (5, a), (5, b), (None, b), (None, c), (None, c), (7, c + " x"), (2, b)])
+    got = sorted(map(repr, [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()]))
+    assert got == sorted(map(repr, [(2, b), (5, a), (7, c + " x")]))
