@@ -27,11 +27,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id."""
-    groups = jaccard.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """One row of each group of near copies: that of the smallest id, and of rows of that id one; null ids are last. Rows are told by id and text."""
+    kept = jaccard.kept_rows(jaccard.near_duplicates(docs, with_groups=True)).withColumnsRenamed({"doc_id": "kept_id", "twin": "kept_twin"})
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_twin"))
+    return docs.join(kept, same).dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
