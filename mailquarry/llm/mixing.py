@@ -12,8 +12,8 @@ from mailquarry.llm._runtime import spare, stage
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-#: Rows of one slice of a source's shuffled order, on average over all sources.
-SLICE_ROWS = 500
+#: Rows of one slice of the sources' shuffled orders, on average.
+SLICE_ROWS = 200_000
 _HASH_BITS = 60
 
 
@@ -71,13 +71,13 @@ def mix(
     sort), taken. Every document has its epoch 0. Reruns agree.
 
     Scale: texts are read once, to count their words; a slim table (id, source, size) is staged. Running sums
-    have two levels: slices of a source's hash order, as many as the input needs, then rows
-    within a slice; and ranges of the finish time, then rows within a range. So neither a hot source nor the
+    have two levels: slices, ranges of (source, hash, id, size, row), as many as the input needs, then rows
+    within a slice; and ranges of the finish time, then rows within a range. So neither a hot source, nor one id that many rows have, nor the
     whole order lands in one task. Only the list of sources, and for each the list of its slices, are
     windows of their own.
 
     A null text has size 0; null ids and null sources are kept; repeated rows are documents of
-    their own; ties of finish go by source, epoch, hash, id, size. An empty table gives no rows.
+    their own; ties of finish go by source, epoch, hash, id, size, row. Very long texts are counted like others. An empty table gives no rows.
     """
     slim = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
@@ -87,25 +87,28 @@ def mix(
         shuffled(F.col(id_col), seed).alias("h"),
     )
     slim = stage(slim, "sizes")
-    bits = max(1, slim.count() // slice_rows).bit_length()
-    sliced = slim.withColumn("slice", F.shiftright("h", _HASH_BITS - bits)).withColumn("known", F.coalesce("source", F.lit("")))
-    sliced = sliced.withColumn("known", F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), "known"))
-    table = sources(slim, weights, max_epochs)
-    table = table.withColumn("known", F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit("")))).drop("source")
+    n_rows = slim.count()
+    n_slices = max(1, min(n_rows // 1_000, docs.sparkSession.sparkContext.defaultParallelism), n_rows // slice_rows)
+    known = F.concat(F.when(F.col("source").isNull(), "0").otherwise("1"), F.coalesce("source", F.lit("")))
+    table = sources(slim, weights, max_epochs).withColumn("known", known).drop("source")
+    # Slices are ranges of the whole order, row numbers included, so rows of one id are dealt over several like any others.
+    order = ["h", "doc_id", "size", "row_id"]
+    sliced = slim.withColumn("known", known).repartitionByRange(n_slices, "known", *order).withColumn("slice", F.spark_partition_id())
+    sliced = stage(sliced, "slices")
     earlier = Window.partitionBy("known").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = sliced.groupBy("known", "slice").agg(F.sum("size").alias("words"))
     slices = slices.select("known", "slice", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before")).join(table, "known")
-    within = Window.partitionBy("known", "slice").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("known", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = sliced.withColumn("upto", F.sum("size").over(within)).join(slices, ["known", "slice"])
 
     epochs = F.filter(F.sequence(F.lit(0), F.lit(max_epochs - 1)), lambda e: (e == 0) | (e * F.col("source_size") < F.col("weight") * F.col("level")))
     copies = placed.withColumn("epoch", F.explode(epochs))
     copies = copies.withColumn("finish", (F.col("epoch") * F.col("source_size") + F.col("before") + F.col("upto")) / F.col("weight"))
-    ranges = copies.repartitionByRange("finish").withColumn("place", F.spark_partition_id())
+    ranges = copies.repartitionByRange("finish", "source_rank", "epoch", *order).withColumn("place", F.spark_partition_id())
     ranges = stage(ranges.drop("known", "slice", "before", "upto"), "finish")
     sums = ranges.groupBy("place").agg(F.sum("size").alias("words"))
     sums = sums.select("place", F.coalesce(F.sum("words").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("served"))
-    order = Window.partitionBy("place").orderBy("finish", "source_rank", "epoch", "h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("place").orderBy("finish", "source_rank", "epoch", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = ranges.withColumn("run", F.sum("size").over(order)).join(sums, "place")
     taken = F.when(F.col("served") + F.col("run") <= F.col("budget"), F.col("size")).otherwise(F.lit(0)).cast("long")
     return ordered.select("row_id", "doc_id", "source", "size", "source_size", "target", "weight", "epoch", "finish", "place", taken.alias("taken"))
@@ -117,17 +120,18 @@ def mixed_sizes(copies: DataFrame) -> DataFrame:
     return copies.groupBy("row_id").agg(*same, F.sum("taken").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mixed_documents(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` with every row as often as its mix ``copies`` takes it; documents without words stay once.
 
-    Rows of one id and source are told apart by number, so each of them gets the copies of one. Texts are shuffled once.
-    Columns of any name are kept.
+    Rows of one id and source are told apart by number, in the order of a hash of their texts, so each of them gets the copies of one, and the same ones in
+    a rerun; rows that are equal get as many in all. Texts are shuffled once, very long ones too. Null ids and sources count as values, a null text is a row
+    without words. An empty table or mix gives no rows. Columns of any name are kept.
     """
     of_id, of_source, of_row, times, row, copy = spare(docs, "mix_id", "mix_source", "mix_row", "mix_times", "doc_row", "mix_copy")
     took = (F.col("taken") > 0) | ((F.col("size") == 0) & (F.col("epoch") == 0))
     wanted = copies.where(took).groupBy("row_id").agg(F.first("doc_id").alias(of_id), F.first("source").alias(of_source), F.count("*").cast("int").alias(times))
     wanted = wanted.withColumn(of_row, F.row_number().over(Window.partitionBy(of_id, of_source).orderBy(F.desc(times), "row_id"))).drop("row_id")
-    numbered = docs.withColumn(row, F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.lit(0))))
+    numbered = docs.withColumn(row, F.row_number().over(Window.partitionBy(id_col, source_col).orderBy(F.xxhash64(text_col))))
     same = F.col(id_col).eqNullSafe(F.col(of_id)) & F.col(source_col).eqNullSafe(F.col(of_source)) & (F.col(row) == F.col(of_row))
     repeated = numbered.join(wanted, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*docs.columns)

@@ -57,6 +57,20 @@ def test_mix_meets_targets(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mix_deals_rows_of_one_id_over_slices(spark, tmp_path):
+    """A third of all rows without id, a third of one id and text: many slices give the takes of one, and reruns the same copies."""
+    rows = [(None, H.sentence(k, 1 + k % 7)) for k in range(300)] + [(5, "same text here")] * 300 + [(1000 + k, H.sentence(k, 9)) for k in range(300)]
+    docs = H.documents(spark, rows).withColumn("source", F.lit("a")).repartition(5)
+    docs.write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    copies = mixing.mix(docs, slice_rows=30)
+    got = Counter((r.doc_id, r.size, r.taken) for r in mixing.mixed_sizes(copies).collect())
+    whole = Counter((r.doc_id, r.size, r.taken) for r in mixing.mixed_sizes(mixing.mix(docs, slice_rows=10_000)).collect())
+    assert got == whole and sum(got.values()) == 900 and all(taken <= size for _, size, taken in got)
+    mixed = mixing.mixed_documents(docs, copies)
+    assert sorted(map(repr, mixed.collect())) == sorted(map(repr, mixing.mixed_documents(docs.repartition(3), copies).collect()))
+
+
 def test_mix_stops_at_epochs(spark):
     rows = [(i, "w " * 10) for i in range(40)]
     df = H.documents(spark, rows).withColumn("source", F.when(F.col("doc_id") < 38, "a").otherwise("b"))
