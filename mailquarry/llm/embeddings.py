@@ -257,7 +257,7 @@ def _best(top: int):
                         low, high = (low, 1.0 + 1e-9) if u >= 0 else (-1.0 - 1e-9, high)
                         at = np.flatnonzero((units[:long_enough, f] >= low) & (units[:long_enough, f] <= high))
                 found, products = ids[at], _products(q[i : i + 1], x[at])[0]
-                other = found != qids[i]
+                other = (found != qids[i]) & (products >= need if need == need else True)
                 found, products = found[other], products[other]
                 if len(found) > top:
                     enough = np.partition(products, len(products) - top)[len(products) - top]
@@ -271,6 +271,36 @@ def _best(top: int):
     return run
 
 
+def _pairs(queries: DataFrame, bands: DataFrame, query_block: int) -> tuple[DataFrame, DataFrame]:
+    """Queries with need and their block q; and the pairs (dim, need, q, band) of query blocks and norm buckets that may hold answers.
+
+    A query needs vectors of norm theta / its own norm at least. Queries of like needs share blocks, so a block leaves out every bucket whose
+    largest norm is under the least need of it, before anything is shuffled for the pair.
+    """
+    least = F.when((F.col("theta") > 0) & (F.col("norm") > 0), F.col("theta") / F.col("norm")).otherwise(F.lit(0.0))
+    level = F.when(F.col("least") > 0, F.floor(F.log("least") / math.log(NORM_STEP))).otherwise(F.lit(-(10**6))).cast("int")
+    needy = queries.withColumn("least", least).withColumn("need", level)
+    sizes = needy.groupBy("dim", "need").agg(F.ceil(F.count("*") / query_block).cast("int").alias("q_blocks"))
+    placed = needy.join(sizes, ["dim", "need"]).withColumn("q", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("q_blocks")).cast("int"))
+    lows = placed.groupBy("dim", "need", "q").agg(F.min("least").alias("least"))
+    pairs = lows.join(bands, "dim").where(F.col("least") <= F.col("top") * (1 + 1e-9))
+    return placed.drop("q_blocks"), pairs.select("dim", "need", "q", "band", "blocks", "from", "to")
+
+
+def _matched(candidates: DataFrame, queries: DataFrame, bands: DataFrame, top: int, query_block: int) -> DataFrame:
+    """Products (query_id, vec_id, score) of queries (vec_id, v, norm, dim, theta) with the blocks ``from`` to ``to`` of norm buckets, a task per pair of blocks that may hold answers."""
+    placed, pairs = _pairs(queries, bands, query_block)
+    pairs = stage(pairs, "block_pairs")
+    grid = ["dim", "need", "q", "band", "block"]
+    spread = placed.join(pairs, ["dim", "need", "q"]).withColumn("block", F.explode(F.sequence(F.col("from"), F.col("to") - 1)))
+    wanted = pairs.groupBy("dim", "band").agg(F.first("blocks").alias("blocks"), F.first("from").alias("from"), F.first("to").alias("to"), F.collect_list(F.struct("need", "q")).alias("asking"))
+    block = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
+    rows = candidates.join(wanted, ["dim", "band"]).withColumn("block", block).where((F.col("block") >= F.col("from")) & (F.col("block") < F.col("to")))
+    rows = rows.select("vec_id", "v", "norm", "dim", "band", "block", F.explode("asking").alias("a")).select("vec_id", "v", "norm", "dim", "band", "block", "a.need", "a.q")
+    spread = spread.select("vec_id", "v", "norm", "theta", *grid)
+    return spread.groupBy(*grid).cogroup(rows.groupBy(*grid)).applyInArrow(_best(top), "query_id long, vec_id long, score long")
+
+
 def top_products(
     vectors: DataFrame,
     queries: Column | None = None,
@@ -290,7 +320,10 @@ def top_products(
 
     Scale: vectors are grouped by norm, and by blocks within a norm; queries are in blocks too. A first pass over one block of each of the
     highest norm buckets, as many as have ``row_block`` vectors together, gives each query a product that its answers must reach;
-    then each other pair of blocks is a task of its own that prunes by it and returns at most ``top`` rows per query.
+    then queries of like needs go to blocks together, buckets too short for a whole query block are left out in the plan, before anything is
+    shuffled for them, and each other pair of blocks is a task of its own that prunes by it and returns only products that reach it. Tables joined to the
+    vectors have one row per norm bucket, so a bucket of all vectors splits. Where all norms are alike no bucket can be left out: a search without an index then
+    sends the vectors once per query block.
     """
     given = queries if queries is not None else F.pmod(F.col(id_col), F.lit(QUERY_EVERY)) == 0
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"), F.coalesce(given, F.lit(False)).alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
@@ -298,32 +331,17 @@ def top_products(
     rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks"))
     rows = rows.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).withColumn("dim", F.size("v"))
     rows = stage(rows.withColumn("band", F.when(F.col("norm") > 0, F.floor(F.log("norm") / math.log(NORM_STEP))).otherwise(-1).cast("int")), "whole_vectors")
-    bands = rows.groupBy("dim", "band").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / row_block).cast("int").alias("blocks"))
+    bands = rows.groupBy("dim", "band").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / row_block).cast("int").alias("blocks"), F.max("norm").alias("top"))
     higher = Window.partitionBy("dim").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.withColumn("leads", F.coalesce(F.sum("rows").over(higher), F.lit(0)) < row_block).drop("rows")
-    asking = rows.where("asks").groupBy("dim").agg(F.ceil(F.count("*") / query_block).cast("int").alias("q_blocks"))
-    plan = stage(bands.join(asking, "dim"), "blocks")
-    block = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block")
-    blocked = rows.join(plan, ["dim", "band"]).select("vec_id", "v", "norm", "dim", "band", block, F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"))
-    tiles = plan.select("dim", "band", "leads", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    tiles = tiles.select("dim", "band", "block", (F.col("leads") & (F.col("block") == 0)).alias("leads"))
-    asked = rows.where("asks").join(asking, "dim").select("vec_id", "v", "norm", "dim", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("q_blocks")).cast("int").alias("q_block"))
-    asked = stage(asked, "queries")
-    schema = "query_id long, vec_id long, score long"
-    grid = ["dim", "q_block", "band", "block"]
-
-    def matched(q: DataFrame, where: DataFrame, candidates: DataFrame) -> DataFrame:
-        spread = q.join(where.select("dim", "band", "block"), "dim").select("vec_id", "v", "norm", "theta", *grid)
-        return spread.groupBy(*grid).cogroup(candidates.groupBy(*grid)).applyInArrow(_best(top), schema)
-
-    leading, others = tiles.where("leads"), tiles.where("not leads")
-    grid_of = ["dim", "band", "block"]
-    first = matched(asked.withColumn("theta", F.lit(None).cast("double")), leading, blocked.join(leading, grid_of, "left_semi"))
-    first = stage(first, "first_products")
+    bands = stage(bands.withColumn("leads", F.coalesce(F.sum("rows").over(higher), F.lit(0)) < row_block).drop("rows"), "bands")
+    asked = stage(rows.where("asks").select("vec_id", "v", "norm", "dim"), "queries")
+    candidates = rows.select("vec_id", "v", "norm", "dim", "band")
+    first = stage(_matched(candidates, asked.withColumn("theta", F.lit(None).cast("double")), bands.where("leads").withColumn("from", F.lit(0)).withColumn("to", F.lit(1)), top, query_block), "first_products")
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"))))
     reach = ranked.where(F.col("rank") == top).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("theta"))
-    known = asked.join(reach, "vec_id", "left")
-    found = first.unionByName(matched(known, others, blocked.join(others, grid_of, "left_semi")))
+    known = stage(asked.join(reach, "vec_id", "left"), "bounded_queries")
+    rest = bands.withColumn("from", F.when(F.col("leads"), 1).otherwise(0)).withColumn("to", F.col("blocks")).where(F.col("from") < F.col("to"))
+    found = first.unionByName(_matched(candidates, known, rest, top, query_block))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
@@ -331,9 +349,10 @@ def top_products(
 #: The same search in DuckDB.
 TOP_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))

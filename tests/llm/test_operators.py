@@ -295,6 +295,37 @@ def test_embedding_tables_grow_with_projections():
         assert 1 - (1 - embeddings.agreement(0.9, 2.0) ** k) ** embeddings.tables_for(k) >= 0.95
 
 
+def test_top_products_leave_out_short_buckets_in_the_plan(spark):
+    """Norms over three orders of magnitude: block pairs that cannot hold answers are not made, and the answers are those of brute force."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1500, 6)) * np.exp(rng.uniform(0, 7, 1500))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embeddings.top_products(df, queries=F.pmod("vec_id", F.lit(10)) == 0, top=4, scale=1, query_block=16, row_block=25).collect()
+    whole = np.floor(x).astype(np.int64)
+    for i in range(0, 1500, 10):
+        scores = whole @ whole[i]
+        best = sorted((k for k in range(1500) if k != i), key=lambda k: (-scores[k], k))[:4]
+        assert sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == i) == [(n + 1, k, scores[k]) for n, k in enumerate(best)]
+    norm = np.linalg.norm(whole, axis=1)
+    bands = spark.createDataFrame([(6, b, 2, 0, 2, float(norm[np.floor(np.log(norm) / np.log(1.05)) == b].max())) for b in np.unique(np.floor(np.log(norm) / np.log(1.05)).astype(int)).tolist()], "dim int, band int, blocks int, `from` int, `to` int, top double")
+    theta = [(i, float(norm[i]), 6, float(sorted(whole @ whole[i])[-5])) for i in range(0, 1500, 10)]
+    placed, pairs = embeddings._pairs(spark.createDataFrame(theta, "vec_id long, norm double, dim int, theta double"), bands, 16)
+    all_pairs = placed.select("dim", "need", "q").distinct().count() * bands.count()
+    assert 0 < pairs.count() < 0.5 * all_pairs
+
+
+def test_top_products_of_repeated_ids_in_sql(spark, tmp_path):
+    """Rows of one id are one vector, the least, and rows without id none, alike in SQL."""
+    import duckdb
+
+    rows = [(i, [float((i * 7) % 11), float(i % 5), 1.0]) for i in range(0, 400, 4)] + [(100, [9.0, -9.0, 0.0]), (100, [5.0, 5.0, 5.0]), (None, [99.0, 99.0, 99.0]), (8, [1.0, float("nan"), 0.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = embeddings.top_products(spark.read.parquet(f"{tmp_path}/embeddings.parquet"))
+    assert Counter(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == Counter(con.execute(embeddings.TOP_SQL).fetchall())
+
+
 def test_top_products(spark):
     df = vectors(spark, 3)
     got = embeddings.top_products(df, top=5, query_block=3, row_block=40).collect()
