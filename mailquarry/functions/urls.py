@@ -11,9 +11,11 @@ from mailquarry.functions.text import SPACE, strip
 HOST = r"[a-zA-Z0-9](?:[a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?"
 PATH = r"""[/?#][^\s<>"{}|\\^`\[\]]*"""
 TOP_LEVEL = (
-    "com org net edu gov mil co io ai app dev tech info biz name pro xyz online site website store shop blog news media tv me us uk ca au de fr "
-    "jp cn in br ru it es nl se no dk fi pl be ch at cz gr pt ie nz sg hk kr tw th my id ph vn za ae il tr mx ar cl"
-).split()
+    "com", "org", "net", "edu", "gov", "mil", "co", "io", "ai", "app", "dev", "tech", "info", "biz", "name", "pro", "xyz", "online", "site",
+    "website", "store", "shop", "blog", "news", "media", "tv", "me", "us", "uk", "ca", "au", "de", "fr", "jp", "cn", "in", "br", "ru", "it", "es",
+    "nl", "se", "no", "dk", "fi", "pl", "be", "ch", "at", "cz", "gr", "pt", "ie", "nz", "sg", "hk", "kr", "tw", "th", "my", "id", "ph", "vn", "za",
+    "ae", "il", "tr", "mx", "ar", "cl",
+)
 TRAILING = r"[.,;!?)\]]+\z"
 
 _PATH = PATH.replace(r"\s", SPACE)

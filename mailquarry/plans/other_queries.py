@@ -235,7 +235,7 @@ SELECT n, ((r * 20000 + n) // (2 * n)) / 10000.0::DOUBLE AS accuracy, ((tp * 200
 
     @register("url_classifier")
     def url_classifier(spark, sf_dir):
-        rows = _urls(spark, sf_dir).withColumn("test", C.is_test(F.col("url"))).cache()
+        rows = _urls(spark, sf_dir).withColumn("test", C.is_test(F.col("url")))
         model = C.train(rows.where(~F.col("test")), size=1000)
         return model.transform(rows.where("test")).select("page_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
