@@ -14,7 +14,7 @@ _ODD = re.compile("[\x01\x1c-\x1f\x85᠎​﻿]")
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 #: Pieces that a worker's cache holds: words alone, and words with the white space before them.
-_CACHE_PIECES = {False: 800_000, True: 1_000_000}
+_CACHE_PIECES = {False: 400_000, True: 1_000_000}
 #: Characters that they hold in all, and of one piece that is to stay.
 _CACHE_CHARS, _LASTING_CHARS = 40_000_000, 200
 _AT_ONCE = 2_000
