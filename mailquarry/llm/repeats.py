@@ -32,16 +32,16 @@ def _sliding(x: np.ndarray, width: int, pick: np.ufunc, pad: int) -> np.ndarray:
     return pick(behind[: len(x) - width + 1], ahead[width - 1 : len(x)])
 
 
-def anchors(raw: bytes, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of a text's anchors, and hashes of their contexts.
+def anchors(raw: bytes, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Places and hashes of a text's anchors, and of each its context: bytes before and after the anchor, and a hash of the whole.
 
-    An anchor is chosen where its hash is the smallest of a window of length - anchor + 1 starts; equal strings choose alike, as
-    the choice depends on the string alone. Its context is what strings of ``length`` bytes that hold it can cover.
+    A string of ``length`` bytes has the anchor whose hash is the smallest at its length - anchor + 1 starts, the first of equal ones; equal strings
+    choose alike, as the choice depends on the string alone. An anchor's context is what the strings that choose it cover, so each string is in one context.
     """
     n, span = len(raw), length - anchor
     if n < length:
         none = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), none, none
+        return np.zeros(0, np.int64), none, np.zeros(0, np.int16), np.zeros(0, np.int16), none
     data = np.frombuffer(raw, np.uint8)
     up, down = _power_tables(n + 1)
     sums = np.zeros(n + 1, np.uint64)
@@ -49,10 +49,19 @@ def anchors(raw: bytes, length: int, anchor: int) -> tuple[np.ndarray, np.ndarra
     h = mixed((sums[anchor:] - sums[:-anchor]) * down[: n - anchor + 1])
     least = _sliding(h, span + 1, np.minimum, 2**64 - 1)
     around = np.concatenate([np.zeros(span, np.uint64), least, np.zeros(span, np.uint64)])
-    at = np.flatnonzero(_sliding(around, span + 1, np.maximum, 0) == h)
-    low, high = np.maximum(at - span, 0), np.minimum(at + anchor + span, n)
+    chosen = _sliding(around, span + 1, np.maximum, 0) == h
+    at = np.flatnonzero(chosen)
+    # By string: its first chosen place may be an earlier string's; then the next ones are tried.
+    own = (np.cumsum(chosen) - chosen)[: len(least)]
+    wrong = np.flatnonzero(h[at[own]] != least)
+    while len(wrong):
+        own[wrong] += 1
+        wrong = wrong[h[at[own[wrong]]] != least[wrong]]
+    low = np.flatnonzero(np.diff(own, prepend=-1))
+    high = np.append(low[1:], len(own)) - 1 + length
+    at = at[own[low]]
     context = mixed((sums[high] - sums[low]) * down[low] + mixed(((at - low) * 4096 + high - low).astype(np.uint64)))
-    return at, h[at], context
+    return at, h[at], (at - low).astype(np.int16), (high - at - anchor).astype(np.int16), context
 
 
 def _raws(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
@@ -62,7 +71,7 @@ def _raws(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]
 
 def _anchored(length: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(h, context, doc, pos, times): each distinct context of a text once, with how often the text has it."""
+        """(h, context, doc, pos, times, before, after): each distinct context of a text once, with how often the text has it."""
         seen: set[bytes] = set()
         for batch in batches:
             for start, raws in _raws(batch, 1):
@@ -73,35 +82,31 @@ def _anchored(length: int, anchor: int):
                     if len(raw) < length or digest in seen:  # exact copies are told by their number
                         continue
                     seen.add(digest)
-                    at, h, context = anchors(raw, length, anchor)
+                    at, h, before, after, context = anchors(raw, length, anchor)
                     context, first, times = np.unique(context, return_index=True, return_counts=True)
-                    parts.append((h[first].view(np.int64), context.view(np.int64), np.full(len(first), key), at[first], np.minimum(times, 2)))
+                    parts.append((h[first].view(np.int64), context.view(np.int64), np.full(len(first), key), at[first], np.minimum(times, 2), before[first], after[first]))
                 if len(seen) > 500_000:
                     seen.clear()
-                columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(5)]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int8())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "context", "doc", "pos", "times"])
+                columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(7)]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int8(), pa.int16(), pa.int16())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "context", "doc", "pos", "times", "before", "after"])
 
     return run
 
 
-#: What the suffix array has to do with a context: decide about its strings, or only compare others with it, as it is repeated as a whole.
-OPEN, MODEL = 1, 2
-
-
-def _cut_out(length: int, anchor: int):
-    span = length - anchor
-
+def _cut_out(anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What stands before and after each anchor: (h, doc, pos, state, left, right)."""
+        """What stands before and after the anchor in each picked context: (h, context, times, left, right)."""
         for batch in batches:
             out: list[tuple] = []
-            for start, raws in _raws(batch, 1):
-                for key, raw, picks in zip(batch.column(0).slice(start, len(raws)).to_pylist(), raws, batch.column(2).slice(start, len(raws)).to_pylist(), strict=True):
-                    out += [(p["h"], key, p["pos"], p["state"], raw[max(0, p["pos"] - span) : p["pos"]], raw[p["pos"] + anchor : p["pos"] + anchor + span]) for p in picks]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int8(), pa.binary(), pa.binary())
-            columns = list(zip(*out, strict=True)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "doc", "pos", "state", "left", "right"])
+            for start, raws in _raws(batch, 0):
+                for raw, picks in zip(raws, batch.column(1).slice(start, len(raws)).to_pylist(), strict=True):
+                    for p in picks:
+                        at, end = p["pos"], p["pos"] + anchor
+                        out.append((p["h"], p["context"], p["times"], raw[at - p["before"] : at], raw[end : end + p["after"]]))
+            kinds = (pa.int64(), pa.int64(), pa.int8(), pa.binary(), pa.binary())
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["h", "context", "times", "left", "right"])
 
     return run
 
@@ -110,62 +115,61 @@ def _sorted_shard(length: int, anchor: int):
     span = length - anchor
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        """Spans (doc, first, last) of strings of open contexts that the shard's suffix array finds elsewhere in it.
+        """Spans (h, context, first, last; from the anchor on) of strings that the shard's suffix array finds more than once.
 
         Each context is its left bytes, one symbol for its anchor, and its right bytes; a string of ``length`` bytes is a window of span + 1 symbols
-        there, and it is repeated if it shares them with its neighbour in the array.
+        there. Windows that share these symbols are neighbours in the array; they are repeated if their contexts stand in the texts twice in all, or oftener.
         """
-        h, doc, pos, state = (rows[c].to_numpy() for c in ("h", "doc", "pos", "state"))
+        h, context, times = (rows[c].to_numpy() for c in ("h", "context", "times"))
         lefts, rights = rows["left"].to_pylist(), rows["right"].to_pylist()
         core = np.unique(h, return_inverse=True)[1] + 258
         n_left, n_right = np.fromiter(map(len, lefts), np.int64, len(h)), np.fromiter(map(len, rights), np.int64, len(h))
-        starts = np.cumsum(n_left + n_right + 2) - (n_left + n_right + 2)
+        ends = np.cumsum(n_left + n_right + 2) - 1
+        starts = ends - n_left - n_right - 1
         raw = b"".join([a + b"\0" + b + b"\0" for a, b in zip(lefts, rights, strict=True)])
         s = np.append(np.frombuffer(raw, np.uint8).astype(np.int64) + 2, 0)
         s[starts + n_left] = core
-        s[starts + n_left + n_right + 1] = 1
-        before, shared = permuted_prefixes(s, suffix_array(s), span + 1)
-        hit = np.zeros(len(s), bool)
-        found = np.flatnonzero(shared > span)
-        hit[found] = hit[before[found]] = True
-        at = np.flatnonzero(hit)
-        owner = np.searchsorted(starts, at, "right") - 1
-        ahead = n_left[owner] - (at - starts[owner])  # bytes before the anchor
-        inside = ahead + n_right[owner] >= span  # else the window runs into the next context
-        good = (ahead >= 0) & inside & (state[owner] == OPEN)
-        at, owner = at[good], owner[good]
-        first = pos[owner].astype(np.int64) - ahead[good]
+        s[ends] = 1
+        owner = np.repeat(np.arange(len(h) + 1), np.append(n_left + n_right + 2, 1))
+        rest = np.append(ends, len(s) - 1)[owner] - np.arange(len(s))
+        order = suffix_array(s)
+        _, shared = permuted_prefixes(s, order, rest)
+        # Windows in the array's order; a group goes on while the next suffix shares a whole window.
+        window = rest > span
+        group = np.cumsum(shared[order] <= span)
+        weight = np.bincount(group, np.where(window, np.append(times, 0)[owner], 0)[order])
+        at = np.sort(order[window[order] & (weight[group] > 1)])
+        owner = owner[at]
+        first = at - starts[owner] - n_left[owner]
         # Strings that start one after the other in a context are one span.
         fresh = np.diff(at, prepend=-2) != 1
         fresh[1:] |= owner[1:] != owner[:-1]
         begins = np.flatnonzero(fresh)
-        ends = np.append(begins[1:], len(at)) - 1 if len(at) else begins
-        return pa.table({"doc": pa.array(doc[owner[begins]], pa.int64()), "first": pa.array(first[begins].astype(np.int32)), "last": pa.array((first[ends] + length).astype(np.int32))})
+        stops = np.append(begins[1:], len(at)) - 1 if len(at) else begins
+        found = owner[begins]
+        return pa.table({"h": h[found], "context": context[found], "first": first[begins].astype(np.int32), "last": (first[stops] + length).astype(np.int32)})
 
     return run
 
 
 def _windows(cut: DataFrame, span: int) -> DataFrame:
-    """The strings of contexts: h, ahead (its bytes before the anchor), string (a hash of what it has before and after the anchor), doc, pos, state.
+    """The strings of contexts: h, ahead (its bytes before the anchor), string (a hash of what it has before and after the anchor), context, times.
 
     Equal strings have equal anchors at equal places, so they meet by these three wherever their contexts differ.
     """
     before, after = F.octet_length("left"), F.octet_length("right")
-    rows = cut.withColumn("low", F.greatest(F.lit(0), span - after)).withColumn("high", F.least(F.lit(span), before)).where("low <= high")
-    rows = rows.withColumn("ahead", F.explode(F.sequence("low", "high")))
+    rows = cut.withColumn("ahead", F.explode(F.sequence(span - after, before)))
     head = F.substring("left", before - F.col("ahead") + 1, F.col("ahead"))
     tail = F.substring("right", F.lit(1), span - F.col("ahead"))
-    return rows.select("h", "ahead", F.xxhash64(head, tail).alias("string"), "doc", "pos", "state")
+    return rows.select("h", "ahead", F.xxhash64(head, tail).alias("string"), "context", "times")
 
 
 def _hot_strings(cut: DataFrame, length: int, anchor: int) -> DataFrame:
-    """Strings (doc, first, last) of open contexts that stand in another context of their anchor too, by sums over the strings."""
+    """Spans as of a shard, of the contexts of hot anchors, by sums over their strings."""
     windows = _windows(stage(cut, "hot_contexts"), length - anchor)
     key = ["h", "ahead", "string"]
-    again = stage(windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "hot_strings")
-    found = windows.where(F.col("state") == OPEN).join(again, key)
-    first = F.col("pos") - F.col("ahead")
-    return found.select("doc", first.cast("int").alias("first"), (first + length).cast("int").alias("last"))
+    again = stage(windows.groupBy(*key).agg(F.sum("times").alias("n")).where("n > 1").select(*key), "hot_strings")
+    return windows.join(again, key).select("h", "context", (-F.col("ahead")).alias("first"), (length - F.col("ahead")).alias("last"))
 
 
 def _runs(covered: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,27 +183,34 @@ def _runs(covered: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndar
     return flips[::2], flips[1::2]
 
 
-def _removed(length: int, anchor: int):
-    span = length - anchor
+def _looped(raw: bytes, loops: list[dict], length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of contexts that a text has several times, at all their places."""
+    at, _, _, _, context = anchors(raw, length, anchor)
+    context = context.view(np.int64)
+    by = np.argsort(context, kind="stable")
+    sought, first, last = (np.array([x[c] for x in loops], np.int64) for c in ("context", "first", "last"))
+    low, high = np.searchsorted(context[by], sought, "left"), np.searchsorted(context[by], sought, "right")
+    n = high - low
+    which = np.repeat(np.arange(len(n)), n)
+    places = at[by[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + low[which]]]
+    return places + first[which], places + last[which]
 
+
+def _removed(length: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for start, raws in _raws(batch, 1):
                 part = batch.slice(start, len(raws))
-                ids, copied, loops, places, firsts, lasts = (part.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6))
+                ids, copied, firsts, lasts, loops = (part.column(i).to_pylist() for i in (0, 2, 3, 4, 5))
                 for k, raw in enumerate(raws):
                     n, covered = len(raw), []
                     if copied[k] and n >= length:
                         covered.append((np.array([0]), np.array([n])))
-                    elif places[k] or firsts[k] or loops[k]:
-                        at = np.array(places[k] or [], np.int64)
+                    elif firsts[k]:
+                        covered.append((np.array(firsts[k], np.int64), np.array(lasts[k], np.int64)))
                         if loops[k]:
-                            own, _, context = anchors(raw, length, anchor)
-                            _, which, times = np.unique(context, return_inverse=True, return_counts=True)
-                            at = np.concatenate([at, own[times[which] > 1]])
-                        covered.append((np.maximum(at - span, 0), np.minimum(at + anchor + span, n)))
-                        covered.append((np.array(firsts[k] or [], np.int64), np.array(lasts[k] or [], np.int64)))
+                            covered.append(_looped(raw, loops[k], length, anchor))
                     a, b = _runs(covered, n) if covered else (np.zeros(0, np.int64), np.zeros(0, np.int64))
                     kept = b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), n], strict=True))
                     out.append((ids[k], n, n - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept))
@@ -215,15 +226,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes). Strings are judged on the input; matches do not cross documents.
 
-    How: texts are cut into contexts around anchors, which equal strings choose alike. Equal contexts are repeated as they stand. Where one anchor has
-    several contexts, each is a short sequence with one symbol for the anchor; shards of such sequences get a suffix array by induced sorting, and
-    the prefixes shared by neighbours tell which strings stand in two contexts. This decides every string, as each holds an anchor and
-    all contexts of an anchor are in one shard. An anchor with more than ``shard_contexts`` of them is too much for a shard: its contexts are split into their
+    How: texts are cut into contexts around anchors, which equal strings choose alike, so that each string is in the context of one anchor. Of each distinct
+    context of an anchor that stands anywhere twice, one row goes to the anchor's shard, with how often it stands there (contexts are told by 128 bits of hashes).
+    There each is a short sequence with one symbol for the anchor; the shard gets a suffix array by induced sorting, and the prefixes that neighbours
+    share tell which strings stand in two contexts, or in one that stands in the texts twice. What it finds is joined back to all places of the context. This
+    decides every string but those of exact copies, which go whole. An anchor with more than ``shard_contexts`` contexts is too much for a shard: its contexts are split into their
     strings, which are counted by anchor, place of the anchor and a hash of the other bytes.
 
-    Scale: anchors are a thirtieth of the bytes and travel as hashes; texts are shuffled twice, to cut out open contexts and to remove
-    what is found. Exact copies are told by digests and looked into once per task. Shards are as many as the open contexts need and hold
+    Scale: anchors are a thirtieth of the bytes and travel as hashes; texts are shuffled twice, to cut out contexts and to remove
+    what is found. Exact copies are told by digests and looked into once per task. Shards are as many as the contexts need and hold
     at most ``shard_contexts`` of one anchor; counts of the strings of other anchors are combined before their shuffle. Texts with such anchors are shuffled once more.
+    A very long text is one row of each of these shuffles, with a span for at most each thirtieth byte or so.
 
     Null texts are empty, with n_bytes 0. Rows of equal text, repeated rows too, are copies of each other. Null ids are kept. An empty table gives no rows.
     """
@@ -233,37 +246,33 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = stage(names.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "copies")
     copied = names.join(copies, "digest").select("doc").distinct()
 
-    # Right sides of joins with hot anchors are staged and have one row per key, which leaves Spark free to split the left sides.
-    found = stage(rows.select("doc", "text").mapInArrow(_anchored(length, anchor), "h long, context long, doc long, pos int, times byte"), "occurrences")
-    again = found.groupBy("h").agg(F.sum("times").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).where("n > 1")
-    again = stage(again.select("h", (F.col("low") != F.col("high")).alias("several")), "anchors")
+    # Right sides of joins with hot anchors or contexts are staged and have few rows per key, which leaves Spark free to split the left sides.
+    schema = "h long, context long, doc long, pos int, times byte, before short, after short"
+    found = stage(rows.select("doc", "text").mapInArrow(_anchored(length, anchor), schema), "occurrences")
+    again = stage(found.groupBy("h").agg(F.sum("times").alias("n")).where("n > 1").select("h"), "anchors")
     known = stage(found.join(again, "h"), "known")
-    several = known.where("several")
-    contexts = stage(several.groupBy("h", "context").agg(F.sum("times").alias("n"), F.min(F.struct("doc", "pos")).alias("at")), "contexts")
-    alone, repeated = contexts.where("n < 2"), contexts.where("n > 1")
-    models = repeated.join(stage(alone.select("h").distinct(), "open_anchors"), "h")
-    waiting = alone.withColumn("state", F.lit(OPEN)).unionByName(models.withColumn("state", F.lit(MODEL)))
-    waiting = stage(waiting.select("h", "at.doc", "at.pos", F.col("state").cast("byte").alias("state")), "waiting")
-    whole = known.where("not several").unionByName(several.join(repeated.select("h", "context"), ["h", "context"]))
-    hot = stage(waiting.groupBy("h").agg(F.count("*").alias("contexts")).where(F.col("contexts") > shard_contexts), "hot_anchors")
+    contexts = known.groupBy("h", "context").agg(F.least(F.sum("times"), F.lit(2)).cast("byte").alias("times"), F.min(F.struct("doc", "pos", "before", "after")).alias("at"))
+    contexts = stage(contexts.select("h", "context", "times", "at.*"), "contexts")
+    hot = stage(contexts.groupBy("h").agg(F.count("*").alias("contexts")).where(F.col("contexts") > shard_contexts), "hot_anchors")
     n_hot = hot.agg(F.sum("contexts")).head()[0] or 0
 
     def cut_out(some: DataFrame) -> DataFrame:
-        picks = some.groupBy("doc").agg(F.collect_list(F.struct("h", "pos", "state")).alias("picks"))
+        picks = some.groupBy("doc").agg(F.collect_list(F.struct("h", "context", "times", "pos", "before", "after")).alias("picks"))
         texts = rows.select("doc", "text").join(picks, "doc").dropDuplicates(["doc"])
-        return texts.select("doc", "text", "picks").mapInArrow(_cut_out(length, anchor), "h long, doc long, pos int, state byte, left binary, right binary")
+        return texts.select("text", "picks").mapInArrow(_cut_out(anchor), "h long, context long, times byte, left binary, right binary")
 
-    shards = max(1, -(-(waiting.count() - n_hot) // shard_contexts))
+    shards = max(1, -(-(contexts.count() - n_hot) // shard_contexts))
     # Shards are small in bytes but not in work, so their number of partitions is given.
-    cut = cut_out(waiting.join(hot, "h", "left_anti") if n_hot else waiting)
+    cut = cut_out(contexts.join(hot, "h", "left_anti") if n_hot else contexts)
     sharded = cut.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(shards, "shard")
-    spans = sharded.groupBy("shard").applyInArrow(_sorted_shard(length, anchor), "doc long, first int, last int")
+    spans = sharded.groupBy("shard").applyInArrow(_sorted_shard(length, anchor), "h long, context long, first int, last int")
     if n_hot:
-        spans = spans.unionByName(_hot_strings(cut_out(waiting.join(hot, "h", "left_semi")), length, anchor))
-    spans = stage(spans, "strings").groupBy("doc").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
-    places = whole.groupBy("doc").agg((F.max("times") > 1).alias("loops"), F.collect_list("pos").alias("places"))
-    facts = copied.withColumn("copied", F.lit(True)).join(places, "doc", "full").join(spans, "doc", "full")
-    facts = stage(facts, "facts")
-    joined = rows.join(facts, "doc", "left").select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), F.coalesce("loops", F.lit(False)).alias("loops"), "places", "firsts", "lasts")
+        spans = spans.unionByName(_hot_strings(cut_out(contexts.join(hot, "h", "left_semi")), length, anchor))
+    placed = known.join(stage(spans, "strings"), ["h", "context"])
+    looped = F.when(F.col("times") > 1, F.struct("context", "first", "last")).alias("loop")
+    placed = placed.select("doc", (F.col("pos") + F.col("first")).alias("first"), (F.col("pos") + F.col("last")).alias("last"), looped)
+    places = placed.groupBy("doc").agg(*[F.collect_list(c).alias(c + "s") for c in ("first", "last", "loop")])
+    facts = stage(copied.withColumn("copied", F.lit(True)).join(places, "doc", "full"), "facts")
+    joined = rows.join(facts, "doc", "left").select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "firsts", "lasts", "loops")
     kind = docs.schema[id_col].dataType.simpleString()
     return joined.mapInArrow(_removed(length, anchor), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

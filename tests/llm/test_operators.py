@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mailquarry.llm import binary, embeddings, jaccard, lines, mixing, packing, pii, quality, repeats
+from mailquarry.llm import _suffixes, binary, embeddings, jaccard, lines, mixing, packing, pii, quality, repeats
 from mailquarry.llm._graph import components as graph_components
 from mailquarry.llm._runtime import stage_path
 from mailquarry.llm._suffixes import permuted_prefixes, suffix_array
@@ -454,16 +454,42 @@ def test_repeats_split_hot_anchors(spark, monkeypatch):
     assert sizes.value == 0
 
 
-def test_suffix_array():
+def test_repeats_come_from_the_arrays(spark, monkeypatch):
+    """Without what the suffix arrays find, nothing goes but exact copies."""
+    base = H.sentence(20, 300)
+    texts = [base, base, base + " end", H.sentence(21, 200) + " " + base[:900], (H.sentence(22, 100) + "\n") * 3, "a" * 3000]
+    docs = H.documents(spark, list(enumerate(texts)))
+    sort = repeats._sorted_shard
+
+    def emptied(length, anchor):
+        run = sort(length, anchor)
+        return lambda key, rows: run(key, rows).slice(0, 0)
+
+    def removed() -> list[int]:
+        return [r.n_removed for r in repeats.remove_repeats(docs).orderBy("doc_id").collect()]
+
+    assert removed() == [x[1] for x in H.repeated([t.encode() for t in texts], 400)]
+    monkeypatch.setattr(repeats, "_sorted_shard", emptied)
+    assert removed() == [len(base), len(base), 0, 0, 0, 0]
+
+
+@pytest.mark.parametrize("block", [0, 10**9])  # induced by numpy, one by one
+def test_suffix_array(monkeypatch, block):
+    """Arrays equal sorted suffixes, and carried prefixes equal compared ones, each up to the end of its sequence."""
+    monkeypatch.setattr(_suffixes, "_BLOCK", block)
     rng = np.random.default_rng(0)
-    for _ in range(200):
+    for trial in range(200):
         s = np.append(rng.integers(1, int(rng.integers(2, 6)), int(rng.integers(0, 60))), 0)
+        if trial % 4 == 0:
+            s = np.concatenate([s[:-1], s])  # long shared prefixes
         text = s.tolist()
         order = suffix_array(s)
         assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
-        before, shared = permuted_prefixes(s, order, 100)
+        ends = np.append(np.flatnonzero(s == 1) if trial % 2 else np.zeros(0, np.int64), len(s) - 1)
+        rest = ends[np.searchsorted(ends, np.arange(len(s)))] - np.arange(len(s))
+        before, shared = permuted_prefixes(s, order, rest)
         for i in range(len(text)):
-            a, b = text[i:], text[before[i] :] if before[i] >= 0 else []
+            a, b = text[i : i + rest[i]], text[before[i] :] if before[i] >= 0 else []
             assert shared[i] == next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
