@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailquarry.functions.ngrams import char_ngrams, term_counts, vectorizer, vocabulary
+from mailquarry.functions.ngrams import char_ngrams, vectorizer, vocabulary
 from mailquarry.functions.text import ratio
 
 VOCABULARY = 10_000
@@ -41,16 +41,18 @@ def train(rows: DataFrame, label: str = "label", grams: str = "grams", size: int
 def gradient(model: PipelineModel, rows: DataFrame, key: str, label: str = "label", grams: str = "grams") -> DataFrame:
     """(term, gradient): the slope of the penalised mean loss along every weight of a fitted model, 0 all over at its optimum; the intercept's term is null.
 
-    Recomputed from the rows, apart from the solver: residuals joined to term counts in the long form, and summed by term before the
-    shuffle. Weights, at most as many as the vocabulary, come from the model. For models without L1 part; ``rows`` are those it was trained on, told apart by ``key``.
+    Recomputed from the rows, apart from the solver: a row's residual goes with each of its grams, and is summed by term before the
+    shuffle, so that nothing but the vocabulary's terms is joined. Weights, at most as many as the vocabulary, come from the model. For models
+    without L1 part; ``rows`` are those it was trained on, with ``key`` as their id.
     """
     counts, fitted = model.stages[0], model.stages[1]
     penalty = fitted.getOrDefault("regParam")
     spark = rows.sparkSession
     weights = spark.createDataFrame([(t, float(w)) for t, w in zip(counts.vocabulary, fitted.coefficients.toArray(), strict=True)], "term string, weight double")
-    residual = model.transform(rows).select(key, (vector_to_array("probability")[1] - F.col(label)).alias("residual"))
-    n = residual.count()
-    slopes = term_counts(rows, key, grams, weights).join(residual, key).groupBy("term").agg(F.sum(F.col("n") * F.col("residual")).alias("slope"))
+    residual = model.transform(rows).select(key, grams, (vector_to_array("probability")[1] - F.col(label)).alias("residual"))
+    n = rows.count()
+    each = residual.select("residual", F.explode(grams).alias("term")).join(F.broadcast(weights.select("term")), "term")
+    slopes = each.groupBy("term").agg(F.sum("residual").alias("slope"))
     of_terms = weights.join(slopes, "term", "left").select("term", (F.coalesce("slope", F.lit(0.0)) / n + penalty * F.col("weight")).alias("gradient"))
     return of_terms.unionByName(residual.agg(F.avg("residual").alias("gradient")).select(F.lit(None).cast("string").alias("term"), "gradient"))
 

@@ -223,3 +223,13 @@ def test_classifier_learns_saves_and_loads(spark, tmp_path):
     classifier.save(model, str(tmp_path), "u1")
     assert classifier.load(str(tmp_path), "u1").transform(df).where("prediction = label").count() == 90
     assert classifier.metrics(df.withColumn("prediction", F.lit(0))).head().precision == 0.0
+
+
+def test_slopes_hold_for_rows_of_one_id(spark):
+    """Residuals go with their own row's grams: rows that share an id give the slopes of rows that do not, and nothing is joined by it."""
+    rows = classifier.with_grams(spark.createDataFrame([(k, f"http://a{k}.com/{'x' * (k % 4)}", int(k % 3 == 0)) for k in range(40)], "page_id long, url string, label int"))
+    model = classifier.train(rows, size=30, rounds=2)
+    slopes = lambda r: {x.term: x.gradient for x in classifier.gradient(model, r, "page_id").collect()}
+    apart, shared = slopes(rows), slopes(rows.withColumn("page_id", F.lit(1)))
+    assert len(apart) == 31 and max(map(abs, apart.values())) > 1e-6
+    assert shared == pytest.approx(apart, abs=1e-12)
