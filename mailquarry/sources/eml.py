@@ -9,8 +9,9 @@ from collections.abc import Iterator
 from email import policy
 from email.message import EmailMessage
 from email.parser import BytesParser
+from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import Accumulator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,13 @@ from mailquarry.sources.schema import ATTACHMENT
 _ILLEGAL = str.maketrans(dict.fromkeys('/\\:*?"<>|', "_"))
 #: Charset names that say nothing.
 _NO_CHARSET = ("", "default", "unknown", "none")
+#: Characters of a header whose reading is kept.
+LONGEST_KEPT = 500
 _JOB = f"email_id string, og_fname string, header_list string, raw_headers string, plain string, html string, attachments array<{ATTACHMENT}>, _parse_error string"
 
+_files = pa.list_(pa.struct([(n, pa.string()) for n in ("filename", "content_type", "hash", "data_base64")]))
+_ARROW = pa.schema([(n, _files if n == "attachments" else pa.string()) for n in ("email_id", "og_fname", "header_list", "raw_headers", "plain", "html", "attachments", "_parse_error")])
+
 
 def read_binary(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
     """Files by Spark's own binary source, for stores that only the JVM reaches: path, modificationTime, length, content. It leaves out files without a byte."""
@@ -32,6 +38,22 @@ def read_binary(spark: SparkSession, paths: str | list[str], glob: str | None =
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(paths)
 
 
+@lru_cache(maxsize=4096)
+def _header(name: str, value: str):
+    """A header as the library reads it; its values never change, so mails that share one share the reading."""
+    return policy.SMTP.header_fetch_parse(name, value)
+
+
+class Remembering(policy.EmailPolicy):
+    """The policy SMTP, which reads a header anew at each question about it, with the last headers' readings kept; long ones, few of which recur, are not."""
+
+    def header_fetch_parse(self, name, value):
+        return _header(name, value) if type(value) is str and len(value) <= LONGEST_KEPT else super().header_fetch_parse(name, value)
+
+
+SMTP = Remembering(linesep="\r\n")
+
+
 def decoded(part: EmailMessage) -> str:
     """A text part's content under its charset, or the first of the usual ones that exists; undecodable bytes are replaced."""
     try:
@@ -98,7 +120,7 @@ def mail_id(path: str, raw: bytes) -> str:
 def _parsed(path: str, raw: bytes, failfast: bool) -> dict:
     row = {"email_id": mail_id(path, raw), "og_fname": path.rsplit("/", 1)[-1], "raw_headers": header_block(raw), "attachments": []}
     try:
-        message = BytesParser(policy=policy.SMTP).parsebytes(raw)
+        message = BytesParser(policy=SMTP).parsebytes(raw)
         row["header_list"] = ",".join(message.keys())
         row["plain"], row["html"] = text_parts(message)
         row["attachments"] = attachments(message)
@@ -113,16 +135,16 @@ def parse_mails(files: DataFrame, label: str | None = None, failfast: bool = Fal
     """Parsed mails from (path, content), in the columns of ``schema.PARSED``.
 
     A mail that cannot be parsed keeps its row, with the reason in _parse_error; failfast stops the run instead.
-    The standard library reads the MIME structure, batch by batch; everything else is done in columns. There is no shuffle.
+    The standard library reads the MIME structure, a few mails of a batch at a time; everything else is done in columns. There is no shuffle.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["email_id", "og_fname", "header_list", "raw_headers", "plain", "html", "attachments", "_parse_error"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_parsed(p, bytes(c if c is not None else b""), failfast) for p, c in zip(batch["path"], batch["content"], strict=True)]
-            yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
+            for part in mailfiles.slices(batch):
+                rows = [_parsed(p, c or b"", failfast) for p, c in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
-    rows = files.select("path", "content").mapInPandas(run, _JOB)
+    rows = files.select("path", "content").mapInArrow(run, _JOB)
     return rows.select(
         "email_id",
         F.coalesce("header_list", F.lit("")).alias("header_list"),

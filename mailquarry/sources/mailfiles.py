@@ -21,6 +21,8 @@ SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 #: Bytes that one task reads, what opening a file counts as, files that one task lists, and bytes of a batch.
 PARTITION_BYTES, OPEN_COST, LISTED_FILES, BATCH_BYTES = 64 << 20, 64 << 10, 50_000, 8 << 20
 LISTERS = 16
+#: Rows of a batch that are Python objects at a time.
+AT_ONCE = 256
 ATTEMPTS = "_attempts"
 _names = ["path", "modificationTime", "length", "content"]
 _types = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", tz="UTC")), ("length", pa.int64()), ("content", pa.binary())])
@@ -175,6 +177,11 @@ def contents(listing: DataFrame, partition_bytes: int = PARTITION_BYTES, opened_
     return rows.mapInArrow(run, SCHEMA)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of ``AT_ONCE`` rows, so that no more of it than that stands as Python objects."""
+    return (batch.slice(at, AT_ONCE) for at in range(0, batch.num_rows, AT_ONCE))
+
+
 def clean_key(key: str) -> str:
     """A key as a path below the target: parts that stand for folders, or for nothing, become underscores."""
     return "/".join("_" * max(1, len(x)) if x in ("", ".", "..") else x for x in key.split("/"))
@@ -186,7 +193,7 @@ def _attempted(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Re
     own = f"{root}/{uuid.uuid4().hex}"
     system.create_dir(own, recursive=True)
     n = 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         keys, orders, data = (batch.column(k).to_pylist() for k in range(3))
         names = [f"{own}/{n + i}" for i in range(len(keys))]
         n += len(keys)
