@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailquarry.functions.text import SPACE, contains_any, count_all, count_char, count_matches, matches, ratio, strip, words
+from mailquarry.functions.text import SPACE, contains_any, count_all, count_char, count_matches, matches, ratio, strip
 
 # The phrase lists and patterns that the features are defined by.
 URGENCY = (
@@ -71,6 +71,9 @@ _W = f"[^.!?{SPACE}]"
 SHORT_SENTENCE = rf"(?:^|[.!?]){_S}*+{_W}++(?:{_S}++{_W}++)?{_S}*+(?:[.!?]|\z)"
 LONG_SENTENCE = rf"(?:^|[.!?]){_S}*+(?:{_W}++{_S}++){{50}}{_W}"
 
+#: A word that the next one repeats: a whole one, as it begins after white space and is never given back.
+REPEATED_WORD = rf"(?<![^{SPACE}])([^{SPACE}]++)(?={_S}++\1(?![^{SPACE}]))"
+
 
 def _spaced(patterns: tuple[str, ...]) -> str:
     """One alternation, its white space that of all scripts."""
@@ -94,7 +97,7 @@ def urgency(b: Body) -> dict[str, Column]:
     count, marks = count_all(b.lower, URGENCY), count_char(b.text, "!")
     return {
         "urgency_keyword_count": count,
-        "has_urgency": contains_any(b.lower, URGENCY),
+        "has_urgency": count > 0,
         "has_time_pressure": matches(b.lower, _spaced(TIME_PRESSURE)),
         "exclamation_count": marks,
         "excessive_exclamation": marks >= 3,
@@ -102,26 +105,29 @@ def urgency(b: Body) -> dict[str, Column]:
 
 
 def authority(b: Body) -> dict[str, Column]:
+    count = count_all(b.lower, AUTHORITY)
     return {
-        "authority_keyword_count": count_all(b.lower, AUTHORITY),
-        "has_authority_language": contains_any(b.lower, AUTHORITY),
+        "authority_keyword_count": count,
+        "has_authority_language": count > 0,
         "has_impersonation_pattern": matches(b.lower, _spaced(IMPERSONATION)),
         "claims_trusted_domain": contains_any(b.lower, TRUSTED_DOMAINS),
     }
 
 
 def threat(b: Body) -> dict[str, Column]:
+    count = count_all(b.lower, THREAT)
     return {
-        "threat_keyword_count": count_all(b.lower, THREAT),
-        "has_threat": contains_any(b.lower, THREAT),
+        "threat_keyword_count": count,
+        "has_threat": count > 0,
         "has_consequence_language": matches(b.lower, _spaced(CONSEQUENCE)),
     }
 
 
 def request(b: Body) -> dict[str, Column]:
+    count = count_all(b.lower, REQUEST)
     return {
-        "request_keyword_count": count_all(b.lower, REQUEST),
-        "has_request": contains_any(b.lower, REQUEST),
+        "request_keyword_count": count,
+        "has_request": count > 0,
         "requests_password": contains_any(b.lower, PASSWORD),
         "requests_financial": contains_any(b.lower, FINANCIAL),
         "requests_personal": contains_any(b.lower, PERSONAL),
@@ -133,17 +139,17 @@ def linguistic(b: Body) -> dict[str, Column]:
     n_words = count_matches(b.text, f"[^{SPACE}]+")
     n_chars = F.length(F.regexp_replace(b.text, f"(?U)[{SPACE}]+", ""))
     n_sentences = count_matches(b.text, f"{_W}[^.!?]*")
-    tokens = words(b.lower)
-    repeated = F.size(F.filter(F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1))), lambda x, y: x == y), lambda x: x))
     # A pronoun counts between blanks, or after a blank and before a comma or full stop, or first in the text.
-    second = sum((count_all(b.lower, [f" {p} ", f" {p},", f" {p}."]) + F.startswith(b.lower, F.lit(p + " ")).cast("long") for p in SECOND_PERSON), F.lit(0))
+    inside = count_all(b.lower, [f" {p}{end}" for p in SECOND_PERSON for end in " ,."])
+    first = sum((F.startswith(b.lower, F.lit(p + " ")).cast("long") for p in SECOND_PERSON), F.lit(0))
+    second = F.when(F.contains(b.lower, F.lit(" you")), inside).otherwise(F.lit(0)) + first
     return {
         "word_count": n_words,
         "avg_word_length": ratio(n_chars, n_words, 2),
         "sentence_count": n_sentences,
         "avg_sentence_length": ratio(n_words, n_sentences, 2),
         "capitalization_ratio": ratio(F.length(F.regexp_replace(b.text, r"\P{IsUppercase}+", "")), F.length(F.regexp_replace(b.text, r"\P{L}+", "")), 3),
-        "repeated_word_count": repeated.cast("long"),
+        "repeated_word_count": count_matches(b.lower, REPEATED_WORD),
         "has_excessive_spacing": matches(b.text, f"{_S}{{4}}"),
         "has_irregular_sentences": matches(b.text, f"{SHORT_SENTENCE}|{LONG_SENTENCE}"),
         "imperative_verb_count": count_all(b.lower, IMPERATIVES),
@@ -159,7 +165,7 @@ def structural(b: Body) -> dict[str, Column]:
         "body_length": F.length(b.text).cast("long"),
         "line_count": count_matches(b.text, f"[^{SPACE}][^\\n]*"),
         "paragraph_count": F.when(b.text == "", F.lit(0)).otherwise(breaks + 1).cast("long"),
-        "has_html_tags": matches(b.text, "<[^>]+>"),
+        "has_html_tags": tags > 0,
         "html_tag_count": tags,
         "special_char_ratio": ratio(F.length(F.regexp_replace(b.text, r"[\x00-\x7F]+", "")), F.length(b.text), 3),
     }
@@ -175,10 +181,10 @@ def personalization(b: Body) -> dict[str, Column]:
 
 
 def money(b: Body) -> dict[str, Column]:
-    amount = AMOUNT.replace(r"\s", _S)
+    count = count_matches(b.text, AMOUNT.replace(r"\s", _S))
     return {
-        "money_mention_count": count_matches(b.text, amount),
-        "mentions_money": matches(b.text, amount),
+        "money_mention_count": count,
+        "mentions_money": count > 0,
         "mentions_large_sum": matches(b.text, LARGE_SUM.replace(r"\s", _S), "iuU"),
         "money_keyword_count": count_all(b.lower, MONEY),
         "has_prize_language": contains_any(b.lower, PRIZE),

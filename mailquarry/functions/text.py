@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A class of all characters that count as white space, for patterns under (?U).
-SPACE = r"\s\x1c-\x1f"
+#: All characters that count as white space, inside a class: those of (?U)\s and U+001C to U+001F. The low ones by themselves, which Java keeps as bits;
+#: the others behind one comparison.
+SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 
 
 def count_char(text: Column, char: str) -> Column:

@@ -20,10 +20,11 @@ TRAILING = r"[.,;!?)\]]+\z"
 
 _PATH = PATH.replace(r"\s", SPACE)
 #: Bare and www. forms begin after white space or a line's start and end before white space, a line's end or a closing mark.
+#: What a form needs at least is looked for before the rest of it, so that most words are left at their first characters.
 _BEGIN, _END = rf"(?:(?<=[{SPACE}])|^)", rf"(?=[{SPACE}]|$|[,;!?)])"
 HTTP = rf"https?://(?:{HOST}\.)+[a-zA-Z]{{2,}}(?:{_PATH})?"
-BARE = rf"{_BEGIN}(?![\w.-]*@)(?:{HOST}\.)+(?:{'|'.join(TOP_LEVEL)})(?:{_PATH})?{_END}"
-WWW = rf"{_BEGIN}www\.(?:{HOST}\.)*{HOST}(?:{_PATH})?{_END}"
+BARE = rf"{_BEGIN}(?=[a-zA-Z0-9-]++\.)(?![\w.-]*@)(?:{HOST}\.)+(?:{'|'.join(TOP_LEVEL)})(?:{_PATH})?{_END}"
+WWW = rf"(?=www\.){_BEGIN}www\.(?:{HOST}\.)*{HOST}(?:{_PATH})?{_END}"
 
 
 def _all(text: Column, pattern: str, flags: str) -> Column:

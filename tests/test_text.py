@@ -84,3 +84,27 @@ def test_body_plan_has_no_python_and_no_shuffle(spark):
     df = body_features(spark.range(1).select(F.lit("1").alias("email_id"), F.lit("x").alias("body")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_white_space_and_repeated_words_by_explicit_characters(spark):
+    """The explicit class is that of (?U)\\s and U+001C to U+001F, character by character; repeated words count as tokens side by side do."""
+    from mailquarry.functions import body as B
+
+    chars = spark.range(1, 0x10FFFF).where("id < 55296 OR id > 57343").select(F.decode(F.expr("unhex(lpad(hex(id), 8, '0'))"), "UTF-32").alias("c"))
+    assert chars.where(F.rlike("c", F.lit(rf"\A[{T.SPACE}]\z")) != F.rlike("c", F.lit(r"(?U)\A[\s\x1c-\x1f]\z"))).count() == 0
+    assert chars.where(F.rlike("c", F.lit(rf"\A[^{T.SPACE}]\z")) != F.rlike("c", F.lit(r"(?U)\A[^\s\x1c-\x1f]\z"))).count() == 0
+    texts = ["a a a", "aa a", "a aa", " a a a ", "", " ", "x\x1cx y", "\U0001f600 \U0001f600", "ab ab, ab", "you you you", "a.a a.a\n\na.a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    tokens = T.words(F.col("t"))
+    pairs = F.size(F.filter(F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1))), lambda x, y: x == y), lambda x: x))
+    got = rows.select(T.count_matches(F.col("t"), B.REPEATED_WORD).alias("ours"), pairs.alias("theirs")).collect()
+    assert [r.ours for r in got] == [r.theirs for r in got] and sum(r.ours for r in got) > 7
+
+
+def test_flags_reuse_their_counts(spark):
+    """A flag that says whether a count is above 0 is a comparison with it, not a search of its own."""
+    from mailquarry.functions import body as B
+
+    b = B.Body(F.col("t"), F.col("t"))
+    for group, flag in (("urgency", "has_urgency"), ("authority", "has_authority_language"), ("threat", "has_threat"), ("request", "has_request"), ("structural", "has_html_tags"), ("money", "mentions_money")):
+        assert str(B.GROUPS[group](b)[flag]).startswith("Column<'>(")
