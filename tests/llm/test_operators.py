@@ -429,6 +429,17 @@ def test_repeats_at_the_ends_of_texts(spark):
     assert [got[i] for i in range(len(texts))] == H.repeated([t.encode() for t in texts], 400)
 
 
+def test_repeats_of_passages_in_words(spark):
+    """A passage of over 50 words goes if it has 400 bytes; shorter ones go where shorter strings are asked for."""
+    passages = [H.sentence(44, 120)[:400], H.sentence(45, 120)[:399], H.sentence(46, 120)[:300]]
+    assert min(len(p.split()) for p in passages) > 50
+    texts = [x + p + x + H.sentence(500 + 2 * k + (x == "|"), 60) for k, p in enumerate(passages) for x in "|/"]
+    for length, anchor in ((400, 340), (250, 190)):
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(H.documents(spark, list(enumerate(texts))), length=length, anchor=anchor).collect()}
+        assert [got[i] for i in range(len(texts))] == H.repeated([t.encode() for t in texts], length)
+        assert [got[i][1] > 0 for i in range(0, len(texts), 2)] == ([True, False, False] if length == 400 else [True, True, True])
+
+
 def test_repeats_split_hot_anchors(spark, monkeypatch):
     """A passage among different surroundings, some of them shared by two: no shard gets more contexts of an anchor than it takes."""
     passage = H.sentence(40, 200)[:450]
