@@ -102,7 +102,7 @@ def register_all(register) -> None:
         rows = mails(spark, sf_dir)
         for part in (0, 1):
             written(spark, rows.where(F.pmod("doc_no", F.lit(2)) == part), base, F.concat_ws("/", F.pmod("doc_no", F.lit(3)), "og_fname"), F.col("raw"))
-            write_parsed(shown(read_arriving_files(spark, f"{base}/mails", glob="*.eml")), f"{base}/parsed", f"{base}/progress").awaitTermination()
+            write_parsed(shown(read_arriving_files(spark, f"{base}/mails", glob="*.eml", staging=base)), f"{base}/parsed", f"{base}/progress").awaitTermination()
         return spark.read.parquet(f"{base}/parsed")
 
     @register("attachment_rebuild", REBUILT)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatch
+from itertools import batched
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -21,10 +23,15 @@ SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 #: Bytes that one task reads, what opening a file counts as, files that one task lists, and bytes of a batch.
 PARTITION_BYTES, OPEN_COST, LISTED_FILES, BATCH_BYTES = 64 << 20, 64 << 10, 50_000, 8 << 20
 LISTERS = 16
+#: Tasks that list the folders of one depth at most, and names of a folder that such a task holds at a time.
+LISTING_TASKS, NAMES_AT_ONCE = 200, 10_000
 #: Rows of a batch that are Python objects at a time.
 AT_ONCE = 256
 ATTEMPTS = "_attempts"
 _names = ["path", "modificationTime", "length", "content"]
+#: Files of a listing, in the columns of ``File``.
+LISTED = "path string, modified long, length long"
+_listed = pa.schema([("path", pa.string()), ("modified", pa.int64()), ("length", pa.int64()), ("folder", pa.bool_())])
 _types = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", tz="UTC")), ("length", pa.int64()), ("content", pa.binary())])
 
 
@@ -98,14 +105,16 @@ def plan(files: Sequence[File], most_bytes: int, open_cost: int, most_files: int
 def _batches(files: Iterator[File], with_content: bool, count: Callable[[], None] = lambda: None) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     size = 0
-    systems: dict[str, fs.FileSystem] = {}
+    systems: dict[str, tuple[fs.FileSystem, str]] = {}
     for x in files:
         data = None
         if with_content:
-            top = x.path[: x.path.find("/", x.path.find("://") + 3)]
+            top = x.path[: x.path.find("/", x.path.find("://") + 3) + 1]
             if top not in systems:
-                systems[top] = opened(x.path)[0]
-            with systems[top].open_input_stream(opened(x.path)[1]) as stream:
+                system, _, head = opened(top if "://" in top else x.path)
+                systems[top] = system, head
+            system, head = systems[top]
+            with system.open_input_stream(x.path[len(head) :] if x.path.startswith(head) else opened(x.path)[1]) as stream:
                 data = stream.read()
             count()
         rows.append((x.path, x.modified, x.length if data is None else len(data), data))
@@ -164,12 +173,62 @@ def read_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     return (reader.option("pathGlobFilter", glob) if glob else reader).load()
 
 
+def _entries(system: fs.FileSystem, folder: str) -> Iterator[fs.FileInfo]:
+    """What lies in a folder. Of a local one some names are held at a time; pyarrow lists those of other stores whole."""
+    if not isinstance(system, fs.LocalFileSystem):
+        yield from system.get_file_info(fs.FileSelector(folder))
+        return
+    with os.scandir(folder) as found:
+        for some in batched((x.path for x in found), NAMES_AT_ONCE):
+            yield from system.get_file_info(list(some))
+
+
+def hidden(name: str) -> bool:
+    """Whether Spark's own file sources pass over a file or folder of this name."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def list_files(spark: SparkSession, uri: str, staging: str, glob: str | None = None) -> DataFrame:
+    """``LISTED`` of every file below a folder, hidden ones left out, as tasks have listed them: only counts reach the driver.
+
+    A job for each depth of folders, which leaves a table under ``staging``. One folder is one task's work.
+    """
+    system, root, head = opened(uri)
+    (top,) = system.get_file_info([root])
+    if top.type != fs.FileType.Directory:
+        raise FileNotFoundError(uri)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _, head = opened(uri)
+        folders = (path for batch in batches for path in batch.column(0).to_pylist())
+        entries = (x for path in folders for x in _entries(system, path.removeprefix(head)) if not hidden(x.base_name))
+        kept = (x for x in entries if x.type == fs.FileType.Directory or x.type == fs.FileType.File and (not glob or fnmatch(x.base_name, glob)))
+        rows = ((head + x.path, (x.mtime_ns or 0) // 1000, x.size or 0, x.type == fs.FileType.Directory) for x in kept)
+        for some in batched(rows, NAMES_AT_ONCE):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), _listed.types, strict=True)], schema=_listed)
+
+    job, schema, tables = uuid.uuid4().hex, f"{LISTED}, folder boolean", []
+    folders, n = spark.range(1).select(F.lit(head + root).alias("path")), 1
+    while n:
+        tables.append(f"{staging.rstrip('/')}/listing-{job}/{len(tables)}")
+        folders.repartition(min(n, LISTING_TASKS)).mapInArrow(run, schema).write.parquet(tables[-1])
+        folders = spark.read.schema(schema).parquet(tables[-1]).where("folder").select("path")
+        n = folders.count()
+    return spark.read.schema(schema).parquet(*tables).where("NOT folder").drop("folder")
+
+
 def contents(listing: DataFrame, partition_bytes: int = PARTITION_BYTES, opened_files: Accumulator | None = None) -> DataFrame:
     """The files of a listing (path, modificationTime, length) with their contents: only these are opened. ``opened_files`` counts them."""
     rows = listing.select("path", F.unix_micros("modificationTime").alias("modified"), "length")
     total = rows.agg(F.sum(F.col("length") + OPEN_COST)).head()[0] or 0
     rows = rows.repartition(max(1, -(-total // partition_bytes)), "path")
 
+    return with_contents(rows, opened_files)
+
+
+def with_contents(rows: DataFrame, opened_files: Accumulator | None = None) -> DataFrame:
+    """The files of ``LISTED`` with their contents, in the tasks that have their rows; the rows may be a stream."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = (File(*x) for batch in batches for x in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
         yield from _batches(files, True, (lambda: opened_files.add(1)) if opened_files is not None else (lambda: None))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import quote
 
 import pyarrow as pa
 import pytest
 
+from mailquarry.plans import file_queries
+from mailquarry.plans.registry import queries
 from mailquarry.sources import eml, mailfiles
-from mailquarry.streaming.features import read_arriving_files, write_parsed
+from mailquarry.streaming.features import note_arrived, read_arriving_files, write_parsed
 
 HEAD = b"From: Ann <ann@example.com>\r\nSubject: Hi\r\n\r\n"
 
@@ -120,6 +123,75 @@ def test_arriving_files_are_read_once(spark, tmp_path):
     assert len(got) == 60 and sorted(got) == sorted(batch)
 
 
+def test_stream_of_a_large_folder_names_lists_not_mails(spark, sf_dir, tmp_path, monkeypatch):
+    """What the driver keeps of a stream, and reads again at each start, are the lists of mails and never their names."""
+    monkeypatch.setattr(file_queries.scratch, "folder", lambda spark, name: str(tmp_path / name))
+    rows = queries()["eml_stream"](spark, sf_dir)
+    log = [x for p in (tmp_path / "arriving/progress/sources/0").iterdir() if not p.name.startswith(".") for x in p.read_text().splitlines()[1:]]
+    assert rows.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count() == 200
+    assert 0 < len(log) <= 4 * spark.sparkContext.defaultParallelism + 1 and not any(".eml" in x for x in log)
+
+
+def test_arriving_files_noted_in_lists(spark, tmp_path):
+    """Names of any characters and old files too, each once; hidden, empty and other files not, nor what lies in a hidden folder. A file that gets its bytes later is read then."""
+    names = ["a b.eml", "c#d.eml", "e%20f.eml", "g?h.eml", "\u00fc/\u65e5 1/i.eml", "deep/er/k=1/j.eml", "deep/er/j.eml"]
+    left = {"_x.eml": HEAD, ".y.eml": HEAD, "_attempts/z.eml": HEAD, ".h/z.eml": HEAD, "later.eml": b"", "n.txt": b"no mail"}
+
+    def put(found):
+        for name, data in found.items():
+            (tmp_path / "m" / name).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / "m" / name).write_bytes(data)
+
+    def run():
+        mails = read_arriving_files(spark, str(tmp_path / "m"), "*.eml", label="spam", staging=str(tmp_path / "s"))
+        write_parsed(mails, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+        return sorted(r.body for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    with pytest.raises(FileNotFoundError):
+        read_arriving_files(spark, str(tmp_path / "m"), staging=str(tmp_path / "s"))
+    (tmp_path / "m").mkdir()
+    assert run() == []
+    put({name: HEAD + quote(name).encode() for name in names} | left)
+    assert run() == sorted(map(quote, names)) == run()
+    put({"later.eml": HEAD + b"later", "old.eml": HEAD + b"old"})
+    os.utime(tmp_path / "m/old.eml", (1, 1))
+    assert run() == sorted([*map(quote, names), "later", "old"]) == run()
+    ids = [r.email_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert {r.email_id for r in eml.ingest(spark, str(tmp_path / "m"), "*.eml").collect()} >= set(ids) and len(set(ids)) == 9
+
+
+def test_a_trigger_takes_lists_of_so_many_files(spark, tmp_path):
+    mailfiles.write_files(table(spark, [(f"{i % 2}/m{i}.eml", HEAD + str(i).encode()) for i in range(40)]), str(tmp_path / "m"), str(tmp_path / "st"))
+    sizes = []
+    mails = read_arriving_files(spark, str(tmp_path / "m"), files_per_trigger=9, staging=str(tmp_path / "s"))
+    mails.writeStream.foreachBatch(lambda df, k: sizes.append(df.count())).option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    assert sum(sizes) == 40 and max(sizes) <= 9
+
+
+def test_a_stream_that_goes_on_takes_what_is_noted_later(spark, tmp_path):
+    """What a call that failed amid its lists has not noted, the next one notes."""
+
+    def put(numbers):
+        for i in numbers:
+            (tmp_path / f"m/{i}.eml").write_bytes(HEAD + str(i).encode())
+
+    (tmp_path / "m").mkdir()
+    put(range(5))
+    lists = note_arrived(spark, str(tmp_path / "m"), str(tmp_path / "s"), files_per_list=2)
+    full = [p for p in (tmp_path / "s/arrived").glob("part-*") if spark.read.parquet(str(p)).count()]
+    assert len(full) > 2 and spark.read.parquet(lists).count() == 5
+    os.remove(full[0])
+    query = write_parsed(read_arriving_files(spark, str(tmp_path / "m"), staging=str(tmp_path / "s")), str(tmp_path / "out"), str(tmp_path / "progress"), once=False)
+    try:
+        query.processAllAvailable()
+        put(range(10))
+        note_arrived(spark, str(tmp_path / "m"), str(tmp_path / "s"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.og_fname for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [f"{i}.eml" for i in range(10)]
+
+
 def test_a_header_that_mails_share_is_read_once(monkeypatch):
     """Questions about a header, and mails that share it, meet its parser once; results are those of the library's own policy."""
     from email import policy
