@@ -222,7 +222,6 @@ def contents(listing: DataFrame, partition_bytes: int = PARTITION_BYTES, opened_
     rows = listing.select("path", F.unix_micros("modificationTime").alias("modified"), "length")
     total = rows.agg(F.sum(F.col("length") + OPEN_COST)).head()[0] or 0
     rows = rows.repartition(max(1, -(-total // partition_bytes)), "path")
-
     return with_contents(rows, opened_files)
 
 

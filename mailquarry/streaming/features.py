@@ -46,7 +46,7 @@ def read_arriving_files(spark: SparkSession, path: str, glob: str | None = None,
     into place, as ``mailfiles.write_files`` does); files without a byte are left out.
 
     With ``staging``, for folders of more files than a driver holds: the stream reads the lists of ``note_arrived``, which is called here; a stream that
-    goes on takes what later calls note. The folder must be one that pyarrow reaches; ``staging`` belongs to it and to the query's checkpoint.
+    goes on takes what later calls note. The folder must be one that pyarrow reaches; ``staging`` lies outside it and belongs to it and to the query's checkpoint.
     """
     if staging:
         a_list = max(1, files_per_trigger // spark.sparkContext.defaultParallelism) if files_per_trigger else None
